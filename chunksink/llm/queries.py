@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chunksink.llm import quality_rules
+from chunksink.llm import bpe, quality_rules, simple8b
+from chunksink.llm.scratch import shared_dir
+
+
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +23,26 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_stop_words", "n_lines")
 
 
+def op6_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/word_bpe_49k.json") -> DataFrame:
+    folder = shared_dir(spark, "token-ids")
+    simple8b.write_ids(_table(spark, sf_dir, "documents"), folder, vocabulary, end_id=1)
+    ids = F.col("ids")
+    return simple8b.read_ids(spark, folder).select("doc_id", "start", (F.octet_length(ids) / 4).cast("long").alias("n_tokens"), F.crc32(ids).alias("ids_crc32"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
+    return bpe_digest(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+
+
+def bpe_digest(docs: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary).select("doc_id", "ids"), vocabulary)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op6_token_ids": op6_token_ids,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLES: dict[str, str] = {}
