@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunksink.llm import bpe, quality_rules, simple8b
+from chunksink.llm import bpe, quality_rules, simhash, simple8b
 from chunksink.llm.scratch import shared_dir
 
 
@@ -30,6 +30,11 @@ def op6_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZ
     return simple8b.read_ids(spark, folder).select("doc_id", "start", (F.octet_length(ids) / 4).cast("long").alias("n_tokens"), F.crc32(ids).alias("ids_crc32"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = simhash.link_documents(_table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
     return bpe_digest(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
 
@@ -42,6 +47,7 @@ def bpe_digest(docs: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.js
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op6_token_ids": op6_token_ids,
+    "op8_simhash": op8_simhash,
     "op9_bpe": op9_bpe,
 }
 
