@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 #: The pre-tokenisation pattern of the vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -182,7 +182,7 @@ def load(path: str) -> ByteBPE:
     return _LOADED[path]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """``batch`` cut so that ``column`` holds about ``most`` bytes a piece (one row at least)."""
     start, size = 0, 0
     for i, v in enumerate(batch.column(column)):
