@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunksink.llm import bpe, quality_rules, simhash, simple8b
+from chunksink.llm import bpe, quality_rules, simhash, simple8b, toxicity
 from chunksink.llm.scratch import shared_dir
 
 
@@ -23,6 +23,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_stop_words", "n_lines")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, toxicity.training_labels(_table(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs, model).select("doc_id", "score")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/word_bpe_49k.json") -> DataFrame:
     folder = shared_dir(spark, "token-ids")
     simple8b.write_ids(_table(spark, sf_dir, "documents"), folder, vocabulary, end_id=1)
@@ -46,6 +53,7 @@ def bpe_digest(docs: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.js
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_token_ids": op6_token_ids,
     "op8_simhash": op8_simhash,
     "op9_bpe": op9_bpe,
