@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunksink.llm import bpe, quality_rules, simhash, simple8b, toxicity
+from chunksink.llm import bpe, html_text, quality_rules, simhash, simple8b, toxicity
 from chunksink.llm.scratch import shared_dir
 
 
@@ -37,6 +37,11 @@ def op6_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZ
     return simple8b.read_ids(spark, folder).select("doc_id", "start", (F.octet_length(ids) / 4).cast("long").alias("n_tokens"), F.crc32(ids).alias("ids_crc32"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash.link_documents(_table(spark, sf_dir, "documents"))
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_token_ids": op6_token_ids,
+    "op7_html_text": op7_html_text,
     "op8_simhash": op8_simhash,
     "op9_bpe": op9_bpe,
 }
