@@ -16,9 +16,11 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -155,13 +157,19 @@ def parse(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [i if ok else None for i, ok in zip(ids.tolist(), valid.tolist(), strict=True)], lengths, unpack(words, offsets, n)
 
 
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_SPACE = re.compile("[ \t-\r]+")
+# Anything but common letters, marks and white space, about which regular expression engines agree; or a special token.
+_ODD = re.compile("[^\t-\r\x20-\x7e\xa1-ɏЀ-џぁ-ゖァ-ヺ一-龥–—‘-„•…€]|<\\|")
+#: The pre-tokens of the vocabulary (fixed value).
+_PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _TOKENIZERS: dict = {}
 
 
 class _Words:
-    """A tokenizer whose text splits at white space without change, with a bounded memo of words."""
+    """The tokenizer with a bounded memo of pre-tokens.
+
+    A text in NFC without odd characters splits into lower-cased pre-tokens that
+    encode one by one; any other text goes to the tokenizer whole.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -171,16 +179,20 @@ class _Words:
         self.tokenizer.no_padding()
         self.memo: dict[str, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
         memo = self.memo
-        split = [[] if not t else _SPACE.split(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
+        plain = [bool(t) and not _ODD.search(t) and is_normalized("NFC", t) for t in texts]
+        split = [_PRE_TOKENS.findall(t.lower()) if ok else [] for t, ok in zip(texts, plain, strict=True)]
         missing = list({w for words in split for w in words if w not in memo})
         for at in range(0, len(missing), 20_000):
             part = missing[at : at + 20_000]
-            memo.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
-        return [b"".join(map(memo.__getitem__, words)) for words in split]
+            memo.update(zip(part, self._ids(part), strict=True))
+        return [b"".join(map(memo.__getitem__, words)) if ok else self._ids([t])[0] if t else b"" for t, ok, words in zip(texts, plain, split, strict=True)]
 
 
 def _words(path: str) -> _Words:
