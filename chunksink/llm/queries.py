@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunksink.llm import bpe, html_text, quality_rules, repeats, simhash, simple8b, toxicity
+from chunksink.llm import bpe, decontaminate, html_text, quality_rules, repeats, simhash, simple8b, toxicity
 from chunksink.llm.scratch import shared_dir
 
 
@@ -23,6 +23,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "n_spans")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("n_shared").cast("long").alias("n_shared"), F.col("n_shingles").cast("long").alias("n_shingles"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_stop_words", "n_lines")
@@ -68,6 +73,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_token_ids": op6_token_ids,
@@ -77,4 +83,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array": op10_suffix_array,
 }
 
-ORACLES: dict[str, str] = {}
+_STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
+
+ORACLES: dict[str, str] = {
+    "op3_decontaminate": r"""
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT 'b', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark WHERE item_id IS NOT NULL
+), places AS (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5),
+shingles AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'b' GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, max(z.n) AS n_shingles
+FROM shingles b JOIN shingles d ON b.kind = 'b' AND d.kind = 'd' AND b.s = d.s JOIN sizes z ON z.id = b.id
+GROUP BY d.id, b.id HAVING count(*) >= 0.8 * max(z.n)""",
+    "op4_quality_rules": rf"""
+WITH base AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), places AS (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM base WHERE len(w) >= 8),
+windows AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS s FROM places),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r),
+m AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+         len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words, len(ls) AS n_lines,
+         len(list_filter(ls, lambda x: regexp_matches(x, '^\s*[-*•]'))) AS bullets,
+         len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS ellipses
+  FROM base LEFT JOIN covered USING (r)
+), j AS (SELECT *, n_words < 20 OR n_repeat_words * 100 > n_words * 30 AS base_failed, greatest(n_words, 1)::DOUBLE AS pw, greatest(n_lines, 1)::DOUBLE AS pl FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars / pw BETWEEN 2.0 AND 14.0 AND n_symbols / pw <= 0.1 AND n_stop_words / pw >= 0.05
+       AND n_dup_lines / pl <= 0.4 AND bullets / pl <= 0.9 AND ellipses / pl <= 0.3 AS kept,
+       n_stop_words, n_lines
+FROM j""",
+}
