@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunksink.llm import bpe, decontaminate, html_text, quality_rules, repeats, simhash, simple8b, toxicity
+from chunksink.llm import bpe, decontaminate, html_text, line_dedup, quality_rules, repeats, simhash, simple8b, toxicity
 from chunksink.llm.scratch import shared_dir
 
 
@@ -23,6 +23,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "n_spans")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.col("n_shared").cast("long").alias("n_shared"), F.col("n_shingles").cast("long").alias("n_shingles"))
@@ -73,6 +78,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
