@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from enum import Enum
 
@@ -48,7 +47,7 @@ EXCEL_TAB = Dialect(delimiter="\t")
 
 def _escaped(text: Column, what: list[str], dialect: Dialect) -> Column:
     """``text`` with the escape character before each of ``what``."""
-    alternatives = "|".join(re.escape(w).replace("\n", "\\n").replace("\r", "\\r").replace("\t", "\\t") for w in sorted(set(what), key=len, reverse=True))
+    alternatives = "|".join("".join(f"\\x{{{ord(c):x}}}" for c in w) for w in sorted(set(what), key=len, reverse=True))
     lead = dialect.escape_with.replace("\\", "\\\\").replace("$", "\\$")
     return F.regexp_replace(text, f"({alternatives})", f"{lead}$1")
 

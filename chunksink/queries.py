@@ -405,7 +405,7 @@ SELECT d.doc_id, '"' || d.doc_id || '","' || coalesce(quality::VARCHAR, '') || '
     "json_array": _EVENTS,
     "json_documents": """SELECT conv_id, turn, '{"role":"' || role || '","turn":' || turn || '}' AS doc FROM conversations""",
     "bson_documents": """
-SELECT conv_id, turn, lower(printf('%02x', 28 + strlen(role)) || '000000' || '02' || hex('role') || '00' || printf('%02x', strlen(role) + 1) || '000000' || hex(role) || '00' || '10' || hex('turn') || '00' || printf('%02x', turn) || '000000' || '00') AS doc
+SELECT conv_id, turn, lower(printf('%02x', 26 + strlen(role)) || '000000' || '02' || hex('role') || '00' || printf('%02x', strlen(role) + 1) || '000000' || hex(role) || '00' || '10' || hex('turn') || '00' || printf('%02x', turn) || '000000' || '00') AS doc
 FROM conversations""",
     "size_csv": "SELECT c_custkey // 100 AS height, sum(strlen(c_custkey::VARCHAR) + 1 + strlen(c_name) + 1 + strlen(c_mktsegment) + 2)::BIGINT AS bytes FROM customer GROUP BY 1",
     "size_json": """
