@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,24 +18,47 @@ def number_text(value: Column, kind: str) -> Column:
         return F.regexp_replace(F.regexp_replace(value.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
     if kind not in ("float", "double"):
         return value.cast("string")
-    # The platform may print a digit too many: take 15 or 16 digits if they give the same number.
     raw = value.cast("string")
-    try_digits = lambda n: F.format_string(f"%.{n - 1}e", value.cast("double"))
-    same = lambda x: x.cast("double") == value
-    if kind == "double":
-        long = F.length(raw) >= 17
-        raw = F.when(long & same(try_digits(15)), try_digits(15)).when(long & same(try_digits(16)), try_digits(16)).otherwise(raw)
-    sign = F.when(raw.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     plain = F.regexp_replace(raw, r"\.0$", "")
-    digits = F.regexp_replace(F.regexp_replace(F.regexp_extract(raw, r"^-?([\d.]+)[eE]", 1), r"\.", ""), r"(\d)0+$", "$1")
-    power = F.regexp_extract(raw, r"[eE]\+?(-?\d+)$", 1).try_cast("int")
-    size = F.length(digits)
-    large = F.when(size <= power + 1, F.rpad(digits, power + 1, "0")).otherwise(F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, size)))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    tail = F.when(size > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), size))).otherwise(F.lit(""))
-    exponent = F.concat(F.substring(digits, 1, 1), tail, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.abs(power).cast("string"))
-    scaled = F.concat(sign, F.when((power >= 0) & (power <= 20), large).when((power < 0) & (power >= -6), small).otherwise(exponent))
-    return F.when(value == 0, F.lit("0")).when(raw.rlike(r"\d[eE]"), scaled).otherwise(plain)
+    simple = ~raw.contains("E") & (F.length(raw) < 17)
+    if kind == "float":
+        return F.when(value == 0, F.lit("0")).when(simple, plain).otherwise(_placed(raw))
+    return F.when(value == 0, F.lit("0")).when(simple, plain).otherwise(_bind(value, lambda v: _placed(_shortest(v))))
+
+
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``, inside one expression."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _shortest(value: Column) -> Column:
+    """The fewest digits, 15 to 17, that give the same double; the platform's own text may have more."""
+    best = value.cast("string")
+    for digits in (17, 16, 15):
+        tried = F.format_string(f"%.{digits - 1}e", value)
+        best = F.when(tried.cast("double") == value, tried).otherwise(best)
+    return F.when(F.length(value.cast("string")) >= 17, best).otherwise(value.cast("string"))
+
+
+def _placed(raw: Column) -> Column:
+    """Text in scientific form with the point where it belongs; other text as it is, without a final ``.0``."""
+    parts = F.struct(
+        F.when(raw.startswith("-"), F.lit("-")).otherwise(F.lit("")).alias("sign"),
+        F.regexp_replace(F.regexp_replace(F.regexp_extract(raw, r"^-?([\d.]+)[eE]", 1), r"\.", ""), r"(\d)0+$", "$1").alias("digits"),
+        F.regexp_extract(raw, r"[eE]\+?(-?\d+)$", 1).try_cast("int").alias("power"),
+        F.regexp_replace(raw, r"\.0$", "").alias("plain"),
+    )
+
+    def text(p: Column) -> Column:
+        digits, power = p["digits"], p["power"]
+        size = F.length(digits)
+        large = F.when(size <= power + 1, F.rpad(digits, power + 1, "0")).otherwise(F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, size)))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+        tail = F.when(size > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), size))).otherwise(F.lit(""))
+        exponent = F.concat(F.substring(digits, F.lit(1), F.lit(1)), tail, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.abs(power).cast("string"))
+        return F.when(power.isNull(), p["plain"]).otherwise(F.concat(p["sign"], F.when((power >= 0) & (power <= 20), large).when((power < 0) & (power >= -6), small).otherwise(exponent)))
+
+    return _bind(parts, text)
 
 
 def utc(value: Column) -> Column:
