@@ -5,27 +5,41 @@ from __future__ import annotations
 import numpy as np
 
 
-def _dense(*columns: np.ndarray) -> np.ndarray:
-    """Dense ranks from 1 of rows of non-negative columns."""
+def _pack(*columns: np.ndarray) -> np.ndarray:
+    """Numbers in the order of rows of non-negative columns."""
     key = columns[0]
     for c in columns[1:]:
         wide = int(c.max()) + 1 if len(c) else 1
         if len(key) and int(key.max()) >= (1 << 62) // wide:
             key = np.unique(key, return_inverse=True)[1]
         key = key * wide + c
+    return key
+
+
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Dense ranks from 1."""
+    top = int(key.max()) if len(key) else 0
+    if top <= 8 * len(key) + (1 << 16):  # by counting
+        seen = np.zeros(top + 1, bool)
+        seen[key] = True
+        return np.cumsum(seen)[key]
     return np.unique(key, return_inverse=True)[1] + 1
 
 
+def _stable(values: np.ndarray) -> np.ndarray:
+    """Stable order; small values sort by their digits."""
+    return np.argsort(values.astype(np.uint16) if len(values) and int(values.max()) < 1 << 16 else values, kind="stable")
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Order of the suffixes of ``s`` (values from 1): sort sampled triples, recurse on their names, merge the rest."""
     n = len(s)
     if n < 8:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
-    t = np.concatenate([s, np.zeros(6, np.int64)])
+    t = np.concatenate([_dense(s), np.zeros(6, np.int64)])
     top = n + (n % 3 == 1)  # one empty suffix evens out the sample
-    mod1, mod2, mod0 = np.arange(1, top, 3), np.arange(2, n, 3), np.arange(0, n, 3)
-    sample = np.concatenate([mod1, mod2])
-    names = _dense(t[sample], t[sample + 1], t[sample + 2])
+    sample = np.concatenate([np.arange(1, top, 3), np.arange(2, n, 3)])
+    names = _dense(_pack(t[sample], t[sample + 1], t[sample + 2]))
     if int(names.max()) == len(sample):
         order = np.empty(len(sample), np.int64)
         order[names - 1] = np.arange(len(sample))
@@ -34,16 +48,15 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     sample = sample[order]
     rank = np.zeros(n + 6, np.int64)
     rank[sample] = np.arange(1, len(sample) + 1)
-    rest = mod0[np.lexsort((rank[mod0 + 1], t[mod0]))]
     one, two = sample[sample % 3 == 1], sample[sample % 3 == 2]
-    k = len(one)
+    rest = one - 1  # in the order of what follows the first symbol
+    rest = rest[_stable(t[rest])]
     both = np.concatenate([one, rest])
-    key = _dense(t[both], rank[both + 1])
-    before = np.searchsorted(key[:k], key[k:])
-    k = len(two)
+    key = _pack(t[both], rank[both + 1])
+    before = np.searchsorted(key[: len(one)], key[len(one) :])
     both = np.concatenate([two, rest])
-    key = _dense(t[both], t[both + 1], rank[both + 2])
-    before = before + np.searchsorted(key[:k], key[k:])
+    key = _pack(t[both], t[both + 1], rank[both + 2])
+    before = before + np.searchsorted(key[: len(two)], key[len(two) :])
     out = np.empty(len(sample) + len(rest), np.int64)
     place = np.arange(len(rest)) + before
     free = np.ones(len(out), bool)
