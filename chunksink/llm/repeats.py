@@ -36,7 +36,7 @@ from chunksink.llm.suffix_sort import repeated_starts
 
 SLICE_BYTES = 1 << 20
 SHARD_BYTES = {"word": 3 << 20, "byte": 1 << 20}
-HOT = 20_000
+HOT = 4096
 SPAN = "doc_id long, s long, e long"
 
 
