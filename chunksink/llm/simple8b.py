@@ -35,19 +35,33 @@ ESCAPE = 15
 BLOCK = 1024
 MAGIC = b"S8BIDS01"
 FILE_IDS = 4_000_000
-MEMO_ENTRIES = 200_000
+#: Values packed or unpacked at once.
+PIECE = 256 * BLOCK
+MEMO_ENTRIES = 400_000
+
+
+_WIDTHS = np.array([k.bit_length() for k in range(1 << 16)], np.uint8)
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
+    if len(values) and int(values.max()) < 1 << 16:
+        return _WIDTHS[values]
     return np.searchsorted(np.left_shift(np.uint64(1), np.arange(64, dtype=np.uint64)), values, side="right").astype(np.uint8)
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of ``values`` (uint64), and the word offset of each block."""
-    values = np.asarray(values, np.uint64)
+    """Words of ``values``, and the word offset of each block."""
+    words, offsets, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for k in range(0, len(values), PIECE):
+        w, o = _pack(np.asarray(values[k : k + PIECE], np.uint64))
+        words.append(w)
+        offsets.append(o + at)
+        at += len(w)
+    return np.concatenate(words), np.concatenate(offsets)
+
+
+def _pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n, blocks = len(values), -(-len(values) // BLOCK)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     pad = int(COUNTS[0])
     v = np.zeros((blocks, BLOCK + pad), np.uint64)
     flat = np.zeros(blocks * BLOCK, np.uint64)
@@ -62,7 +76,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             grown = widest.copy()
             grown[:, :-step] = np.maximum(widest[:, :-step], widest[:, step:])
             widest, span = grown, span + step
-        choose[widest[:, :BLOCK] <= BITS[s]] = s
+        np.copyto(choose, np.uint8(s), where=widest[:, :BLOCK] <= np.uint8(BITS[s]))
     size = np.ones(ESCAPE + 1, np.int64)
     size[: len(COUNTS)] = COUNTS
     starts = np.zeros((blocks, BLOCK), bool)
@@ -94,10 +108,18 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, place[np.searchsorted(row, np.arange(blocks))]
 
 
-def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
-    """The ``n`` values of packed ``words``; all blocks decode together."""
-    if not n:
-        return np.zeros(0, np.uint64)
+def unpack(words: np.ndarray, offsets: np.ndarray, n: int, kind: type = np.uint64) -> np.ndarray:
+    """The ``n`` values of packed ``words``; many blocks decode together."""
+    out, step = np.zeros(n, kind), PIECE // BLOCK
+    ends = np.append(offsets, len(words))
+    for k in range(0, len(offsets), step):
+        last = min(k + step, len(offsets))
+        part = out[k * BLOCK : last * BLOCK]
+        part[:] = _unpack(words[ends[k] : ends[last]], offsets[k:last] - offsets[k], len(part))
+    return out
+
+
+def _unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     sel = (words >> np.uint64(60)).astype(np.int64)
     raw = np.zeros(len(words), bool)
     taken = -1
@@ -154,7 +176,7 @@ def parse(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         parts.append(np.frombuffer(data, kind, k, at))
         at += parts[-1].nbytes
     ids, lengths, offsets, words, valid = parts
-    return [i if ok else None for i, ok in zip(ids.tolist(), valid.tolist(), strict=True)], lengths, unpack(words, offsets, n)
+    return [i if ok else None for i, ok in zip(ids.tolist(), valid.tolist(), strict=True)], lengths, unpack(words, offsets, n, np.uint32)
 
 
 # Anything but common letters, marks and white space, about which regular expression engines agree; or a special token.
@@ -165,10 +187,11 @@ _TOKENIZERS: dict = {}
 
 
 class _Words:
-    """The tokenizer with a bounded memo of pre-tokens.
+    """The tokenizer with bounded memos of words and of their pre-tokens.
 
-    A text in NFC without odd characters splits into lower-cased pre-tokens that
-    encode one by one; any other text goes to the tokenizer whole.
+    A text in NFC without odd characters splits at white space, its words into
+    lower-cased pre-tokens that encode one by one; any other text goes to the
+    tokenizer whole. The memos only save time.
     """
 
     def __init__(self, path: str) -> None:
@@ -177,22 +200,39 @@ class _Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, parts: list[str]) -> None:
+        """Encode new pre-tokens, many as one text: each ends with its only token that closes a word."""
+        for at in range(0, len(parts), 5000):
+            piece = parts[at : at + 5000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(piece)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) == len(piece) and ends[-1] == 4 * len(ids):
+                raw = ids.tobytes()
+                self.parts.update((p, raw[a:b]) for p, a, b in zip(piece, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+            else:
+                self.parts.update(zip(piece, self._ids(piece), strict=True))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
-        memo = self.memo
+        for memo in (self.words, self.parts):
+            if len(memo) > MEMO_ENTRIES:
+                memo.clear()
+        words, parts = self.words, self.parts
         plain = [bool(t) and not _ODD.search(t) and is_normalized("NFC", t) for t in texts]
-        split = [_PRE_TOKENS.findall(t.lower()) if ok else [] for t, ok in zip(texts, plain, strict=True)]
-        missing = list({w for words in split for w in words if w not in memo})
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            memo.update(zip(part, self._ids(part), strict=True))
-        return [b"".join(map(memo.__getitem__, words)) if ok else self._ids([t])[0] if t else b"" for t, ok, words in zip(texts, plain, split, strict=True)]
+        split = [t.split() if ok else [] for t, ok in zip(texts, plain, strict=True)]
+        missing = list(set().union(*split).difference(words))
+        cut = [[w] if w.isalpha() else _PRE_TOKENS.findall(w) for w in map(str.lower, missing)]
+        self._learn(list({p for c in cut for p in c if p not in parts}))
+        words.update((w, parts[c[0]] if len(c) == 1 else b"".join(map(parts.__getitem__, c))) for w, c in zip(missing, cut, strict=True))
+        return [b"".join(map(words.__getitem__, own)) if ok else self._ids([t])[0] if t else b"" for t, ok, own in zip(texts, plain, split, strict=True)]
 
 
 def _words(path: str) -> _Words:
@@ -233,7 +273,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_id
             return pa.RecordBatch.from_pylist([{"file": name, "part": part, "seq": seq, "n_docs": len(ids), "n_ids": size}])
 
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, 1 << 21):
                 for i, x in zip(batch.column(doc_id).to_pylist(), _words(vocabulary).encode(batch.column(text).to_pylist()), strict=True):
                     ids.append(i)
                     held.append(x + end)
@@ -257,7 +297,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for path, data in zip(batch.column("path"), batch.column("content"), strict=True):
                 ids, lengths, values = parse(data.as_py())
-                flat, ends = values.astype("<u4").tobytes(), np.cumsum(lengths)
+                flat, ends = values.astype("<u4", copy=False).tobytes(), np.cumsum(lengths)
                 at = ends - lengths
                 cells = [flat[4 * a : 4 * b] for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
                 for k in range(0, len(ids), 2000):
