@@ -1,10 +1,11 @@
 """Toxicity: a linear classifier over words, regularised by counterfactuals.
 
 Features are the distinct lower-cased words of a text and their prefixes of 4
-and 6 letters, hashed to ``BUCKETS``. The logistic loss carries an L1 term and a
+and 6 letters (identity terms have no prefixes), hashed to ``BUCKETS``. The logistic loss carries an L1 term and a
 counterfactual term: for each labelled text with an identity term, the term is
-swapped for others of the list and the squared change of the score is
-penalised, so that the mere mention of a group does not move the score.
+swapped for others of the list, and for a neutral word, and the squared change
+of the score (before the logistic function) is penalised, so that the mere
+mention of a group does not move the score.
 
 The fit uses a bounded sample of labelled rows (``max_rows``, the smallest
 hashes of their ids); scoring covers every whole text. Null and empty texts have
@@ -41,6 +42,7 @@ IDENTITY_TERMS = [
     "woman", "women", "man", "men", "female", "male", "disabled", "deaf", "blind", "old", "young", "american", "mexican", "chinese", "indian", "european",
 ]
 
+_IDENTITY = frozenset(IDENTITY_TERMS)
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -67,7 +69,7 @@ class _Features:
         for w in set(_WORDS.findall(text.lower())):
             hit = memo.get(w)
             if hit is None:
-                hit = memo[w] = (_bucket(w), *(_bucket(f"{w[:k]}*") for k in (4, 6) if len(w) > k))
+                hit = memo[w] = (_bucket(w),) if w in _IDENTITY else (_bucket(w), *(_bucket(f"{w[:k]}*") for k in (4, 6) if len(w) > k))
             out.update(hit)
         return np.sort(np.fromiter(out, np.int64, len(out)))
 
@@ -100,31 +102,23 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, l1: float = 4e-4, counterfac
     doc = np.repeat(np.arange(n), lens)[used[cols]]
     cols = index[cols[used[cols]]]
     p = int(used.sum())
-    # Swaps: (document, bucket out, bucket in).
+    # Swaps: bucket out, bucket in; every other one goes to a neutral word, which has no weight.
     is_named = np.zeros(p, bool)
     is_named[index[named]] = True
-    k = np.flatnonzero(is_named[cols])
-    r = np.random.default_rng(0)
-    swap_doc = np.repeat(doc[k], swaps)
-    swap_out = np.repeat(cols[k], swaps)
-    swap_in = index[named][r.integers(0, len(named), len(swap_out))]
+    swap_out = np.repeat(cols[is_named[cols]], swaps)
+    swap_in = index[named][np.random.default_rng(0).integers(0, len(named), len(swap_out))]
+    neutral = np.arange(len(swap_out)) % 2 == 0
     w, b = np.zeros(p), float(np.log(rate / (1 - rate)))
     grown, grown_b = np.full(p, 1e-8), 1e-8
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
     for _ in range(steps):
-        z = b + np.bincount(doc, w[cols], n)
-        s = sigmoid(z)
+        s = sigmoid(b + np.bincount(doc, w[cols], n))
         err = (s - y) / n
         g = np.bincount(cols, err[doc], p)
         g_b = float(err.sum())
-        if counterfactual and len(swap_doc):
-            z2 = z[swap_doc] - w[swap_out] + w[swap_in]
-            s1, s2 = s[swap_doc], sigmoid(z2)
-            change = 2 * counterfactual * (s1 - s2) / (n * swaps)
-            d1, d2 = change * s1 * (1 - s1), change * s2 * (1 - s2)
-            own = np.bincount(swap_doc, d1 - d2, n)  # what both share
-            g += np.bincount(cols, own[doc], p) + np.bincount(swap_out, d2, p) - np.bincount(swap_in, d2, p)
-            g_b += float(own.sum())
+        if counterfactual and len(swap_out):
+            change = 2 * counterfactual * (w[swap_out] - np.where(neutral, 0.0, w[swap_in])) / len(swap_out)
+            g += np.bincount(swap_out, change, p) - np.bincount(swap_in, np.where(neutral, 0.0, change), p)
         grown += g * g
         grown_b += g_b * g_b
         rate_w = 0.3 / np.sqrt(grown)
