@@ -24,7 +24,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-MEMO_ENTRIES = 200_000
+from chunksink.llm.arrow import map_batches
+
+MEMO_ENTRIES = 150_000
 #: The pre-tokenisation pattern of the vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -213,7 +215,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
             for batch in slices(whole, text):
                 yield with_column(batch, ids, pa.array(bpe.encode_batch(batch.column(text).to_pylist()), pa.binary()))
 
-    return docs.mapInArrow(run, _schema(docs, ids, T.BinaryType()))
+    return map_batches(docs, run, _schema(docs, ids, T.BinaryType()))
 
 
 def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -225,4 +227,4 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", text: str = "deco
             for batch in slices(whole, ids):
                 yield with_column(batch, text, pa.array([bpe.decode(x or b"") for x in batch.column(ids).to_pylist()], pa.string()))
 
-    return docs.mapInArrow(run, _schema(docs, text, T.StringType()))
+    return map_batches(docs, run, _schema(docs, text, T.StringType()))

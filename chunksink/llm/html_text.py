@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from chunksink.llm.arrow import map_batches
 from chunksink.llm.bpe import slices, with_column
 from chunksink.llm.quality_rules import STOP_WORDS
 
@@ -187,4 +188,4 @@ def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFram
             for batch in slices(whole, html):
                 yield with_column(batch, out, pa.array([main_text(h) for h in batch.column(html).to_pylist()], pa.string()))
 
-    return pages.mapInArrow(run, schema)
+    return map_batches(pages, run, schema)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chunksink.llm.arrow import map_batches
 from chunksink.llm import sequences
 from chunksink.llm.bpe import slices, with_column
 from chunksink.llm.fm_index import FMIndex
@@ -55,7 +56,7 @@ def segment_rows(docs: DataFrame, unit: str, length: int, gram: int) -> DataFram
                 columns = (g.anchor, g.content, ids[g.text], g.start.astype(np.int32), g.end.astype(np.int32), g.inner)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "content", "doc_id", "s", "e", "inner"])
 
-    return docs.mapInArrow(run, "anchor long, content long, doc_id long, s int, e int, inner boolean")
+    return map_batches(docs, run, "anchor long, content long, doc_id long, s int, e int, inner boolean")
 
 
 def repeated_spans(docs: DataFrame, unit: str, length: int, gram: int, earlier: bool, hot: int = HOT) -> DataFrame:
@@ -76,7 +77,7 @@ def repeated_spans(docs: DataFrame, unit: str, length: int, gram: int, earlier:
     wanted = met.where(F.col("mixed") & (F.col("doc_id") == F.col("least")))
     bodies = _bodies(docs, wanted.where(F.col("places") <= hot), unit)
     shards = bodies.repartition("anchor").sortWithinPartitions("anchor")
-    found = found.union(shards.mapInArrow(_index(unit, length, earlier), SPAN))
+    found = found.union(map_batches(shards, _index(unit, length, earlier), SPAN))
     if not met.where(F.col("mixed") & (F.col("places") > hot)).isEmpty():
         found = found.union(_hot(_bodies(docs, wanted.where(F.col("places") > hot), unit), unit, length, earlier))
     return _merged(found)
@@ -106,7 +107,7 @@ def _bodies(docs: DataFrame, wanted: DataFrame, unit: str) -> DataFrame:
                     [flat.field("anchor"), batch.column("doc_id").take(pa.array(of)), pa.array(s), flat.field("twice"), pa.array(cells, pa.binary())], ["anchor", "doc_id", "s", "twice", "body"]
                 )
 
-    return both.select("doc_id", "text", "parts").mapInArrow(run, "anchor long, doc_id long, s long, twice boolean, body binary")
+    return map_batches(both.select("doc_id", "text", "parts"), run, "anchor long, doc_id long, s long, twice boolean, body binary")
 
 
 def _index(unit: str, length: int, earlier: bool):
@@ -191,7 +192,7 @@ def _hot(bodies: DataFrame, unit: str, length: int, earlier: bool) -> DataFrame:
                 columns = (one[at].view(np.int64), two[at].view(np.int64), doc[of], s[of] + at - t.first[of])
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h1", "h2", "doc_id", "s"])
 
-    windows = bodies.mapInArrow(run, "h1 long, h2 long, doc_id long, s long")
+    windows = map_batches(bodies, run, "h1 long, h2 long, doc_id long, s long")
     places = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n"))
     places = places.where("least < most" if earlier else "n > 1")
     seen = windows.join(places, ["h1", "h2"])
@@ -214,7 +215,7 @@ def _merged(found: DataFrame) -> DataFrame:
             spans = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(s), pa.array(e)], ["s", "e"]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), spans], ["doc_id", "spans"])
 
-    return lists.mapInArrow(run, "doc_id long, spans array<struct<s:long,e:long>>")
+    return map_batches(lists, run, "doc_id long, spans array<struct<s:long,e:long>>")
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, unit: str) -> DataFrame:
@@ -249,7 +250,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, unit: str) -> DataFrame:
                     out = with_column(out, name, pa.array(values, kind))
                 yield out
 
-    return both.mapInArrow(run, schema)
+    return map_batches(both, run, schema)
 
 
 def drop_seen_passages(docs: DataFrame, words: int = 50, gram: int = 8, hot: int = HOT) -> DataFrame:

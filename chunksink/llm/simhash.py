@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chunksink.llm.arrow import map_batches
 from chunksink.llm.bpe import slices, with_column
 from chunksink.llm.components import components
 from chunksink.llm.scratch import cut
@@ -64,7 +65,7 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fp", shingle:
             for batch in slices(whole, text):
                 yield with_column(batch, out, pa.array([of(t) for t in batch.column(text).to_pylist()], pa.int64()))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def block_masks(budget: int = BUDGET) -> list[int]:
@@ -175,7 +176,7 @@ def links(fps: DataFrame, budget: int = BUDGET, split: int = SPLIT) -> DataFrame
 
     key = ["block", "value", "low", "high"]
     order = F.col("fp").bitwiseXOR(F.lit(-(1 << 63)))  # unsigned
-    paired = dealt.select("block", "value", "fp", "depth").mapInArrow(node_pairs, "block int, value long, low long, high long, side int, fp long")
+    paired = map_batches(dealt.select("block", "value", "fp", "depth"), node_pairs, "block int, value long, low long, high long, side int, fp long")
     paired = paired.repartition(*key).sortWithinPartitions(*key, "side", order)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +195,7 @@ def links(fps: DataFrame, budget: int = BUDGET, split: int = SPLIT) -> DataFrame
         if rows:
             yield _forest(pa.concat_tables(held).combine_chunks(), key, budget)
 
-    return paired.mapInArrow(join, "a long, b long")
+    return map_batches(paired, join, "a long, b long")
 
 
 def _bucket_ends(table: pa.Table, key: list[str]) -> np.ndarray:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chunksink.llm.arrow import map_batches
 from chunksink.llm.bpe import slices
 
 # Fixed values of the code: selector 0 to 13.
@@ -285,7 +286,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_id
             yield flush()
 
     ordered = docs.select(doc_id, text).repartitionByRange(F.col(doc_id)).sortWithinPartitions(doc_id)
-    ordered.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
+    map_batches(ordered, run, MANIFEST).write.parquet(f"{folder}/manifest")
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -308,4 +309,4 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     offsets = manifest.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("offset"))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.s8b").load(folder).select("path", "content")
-    return files.mapInArrow(run, schema).join(offsets, "file").select("doc_id", (F.col("at") + F.col("offset")).alias("start"), "ids")
+    return map_batches(files, run, schema).join(offsets, "file").select("doc_id", (F.col("at") + F.col("offset")).alias("start"), "ids")

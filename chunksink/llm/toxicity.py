@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chunksink.llm.arrow import map_batches
 from chunksink.llm.bpe import slices, with_column
 
 BUCKETS = 1 << 20
 MAX_ROWS = 12_000
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 150_000
 THRESHOLD = 0.3
 
 # Terms that name groups of people.
@@ -143,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                 key = [zlib.crc32(f.tobytes()) for f in found]
                 yield pa.RecordBatch.from_arrays([batch.column("_y").cast(pa.int32()), pa.array(key, pa.int64()), pa.array([f.astype("<i4").tobytes() for f in found], pa.binary())], ["y", "key", "features"])
 
-    got = chosen.mapInArrow(run, "y int, key long, features binary").toPandas()
+    got = map_batches(chosen, run, "y int, key long, features binary").toPandas()
     got = got.sort_values(["key", "y"], kind="stable")
     rows = [np.frombuffer(f, "<i4") for f in got["features"]]
     return fit(rows, got["y"].to_numpy(), **settings)
@@ -163,7 +164,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
             for batch in slices(whole, text):
                 yield with_column(batch, out, pa.array([own.score(features.of(t)) for t in batch.column(text).to_pylist()], pa.float64()))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def training_labels(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
