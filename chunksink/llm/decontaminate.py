@@ -20,12 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunksink.llm.quality_rules import bind
-from chunksink.llm.scratch import cut
+from chunksink.llm.scratch import BROADCAST_ROWS, cut, small
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-#: Rows up to which the sketches, or the candidate pairs, are broadcast; beyond it the joins shuffle.
-BROADCAST_ROWS = 400_000
 
 
 def _words(text: Column) -> Column:
@@ -44,11 +42,6 @@ def shingles(text: Column, k: int = SHINGLE) -> Column:
     return bind(_words(text), lambda w: F.array_distinct(F.transform(_starts(w, k), lambda i: F.concat_ws(" ", F.slice(w, i + 1, k)))))
 
 
-def _small(df: DataFrame, bound: int) -> DataFrame:
-    """``df`` marked for broadcast if its size is within the bound."""
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
-
-
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", containment: float = CONTAINMENT, k: int = SHINGLE, bound: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles) for every item that a document contains."""
     own = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("_item"), shingles(F.col(text), k).alias("_shingles"), F.array_distinct(shingle_hashes(F.col(text), k)).alias("_hashes"))
@@ -59,9 +52,9 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     top = max(reach.values(), default=-(1 << 63))
     named = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text"))
     probes = named.select("_doc", F.explode(F.filter(shingle_hashes(F.col("_text"), k), lambda h: h <= top)).alias("_hash"))
-    pairs = probes.join(_small(sketches, bound), "_hash").select("_doc", "_item").distinct()
+    pairs = probes.join(small(sketches, bound), "_hash").select("_doc", "_item").distinct()
     candidates = cut(pairs, "candidates")
-    held = named.join(_small(candidates, bound), "_doc").join(_small(own.select("_item", "_shingles"), bound), "_item")
+    held = named.join(small(candidates, bound), "_doc").join(small(own.select("_item", "_shingles"), bound), "_item")
     counted = held.select("_doc", "_item", F.size(F.array_intersect("_shingles", shingles(F.col("_text"), k))).alias("n_shared"), F.size("_shingles").alias("n_shingles"))
     found = counted.where(F.col("n_shared") >= F.col("n_shingles") * containment)
     return found.groupBy(F.col("_doc").alias(doc_id), F.col("_item").alias(item_id)).agg(F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
@@ -69,4 +62,5 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
 
 def drop_leaked(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    return docs.join(leaks(docs, items, doc_id, item_id, text).select(doc_id).distinct(), doc_id, "left_anti").select(docs.columns)
+    found = cut(leaks(docs, items, doc_id, item_id, text).select(doc_id).distinct(), "leaked")
+    return docs.join(small(found), doc_id, "left_anti").select(docs.columns)

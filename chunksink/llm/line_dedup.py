@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chunksink.llm.arrow import map_batches
 from chunksink.llm import sequences
 from chunksink.llm.bpe import slices, with_column
-from chunksink.llm.scratch import cut
+from chunksink.llm.scratch import cut, small
 
 MIN_WORDS = 8
 SLICE_BYTES = 1 << 20
@@ -73,28 +74,28 @@ def line_rows(docs: DataFrame) -> DataFrame:
                 columns = (c1.view(np.int64), c2.view(np.int64), n.astype(np.int32), ids[text], line.astype(np.int32), *(x.view(np.int64) for x in halves))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["c1", "c2", "n", "doc_id", "line", "pre", "suf", "pre2", "suf2"])
 
-    return docs.mapInArrow(run, LINE)
+    return map_batches(docs, run, LINE)
 
 
 def distinct_lines(rows: DataFrame) -> DataFrame:
     """Each distinct line with its earliest place."""
-    return rows.groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("doc_id"), F.min_by("line", "doc_id").alias("line"), *(F.min(c).alias(c) for c in ("pre", "suf", "pre2", "suf2")))
+    return rows.groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("doc_id"), F.min_by("line", "doc_id").alias("line"))
 
 
-def half_sharers(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Lines that share their first (``head``) or last (``tail``) half with another line."""
+def half_sharers(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Contents whose first (``head``) or last (``tail``) half other contents share."""
     key = lambda hash_, tail: F.struct(F.xxhash64(hash_, F.lit(tail)).alias("key"), F.lit(tail).alias("tail"))
     even = F.col("n") % 2 == 0
     keys = F.when(even, F.array(key("pre", 0), key("suf", 1), key("pre2", 0), key("suf2", 1))).otherwise(F.array(key("pre", 0), key("suf", 1)))
-    each = lines.where(F.col("n") >= min_words - 1).select("c1", "c2", F.explode(keys).alias("k")).select("c1", "c2", "k.*")
+    each = rows.where(F.col("n") >= min_words).select("c1", F.explode(keys).alias("k")).select("c1", "k.*")
     shared = each.groupBy("key").agg((F.min("c1") != F.max("c1")).alias("met")).where("met").select("key")
-    return each.join(shared, "key").groupBy("c1", "c2").agg(F.max(F.col("tail") == 0).alias("head"), F.max(F.col("tail") == 1).alias("tail"))
+    return each.join(shared, "key").groupBy("c1").agg(F.max(F.col("tail") == 0).alias("head"), F.max(F.col("tail") == 1).alias("tail"))
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(c1, c2, doc_id, line, head, tail, words): the words of the wanted lines at their places."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "c1", "c2", "head", "tail")).alias("parts"))
-    both = docs.join(lists.hint("shuffle_hash"), "doc_id")
+    lists = cut(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "c1", "c2", "head", "tail")).alias("parts")), "lines")
+    both = docs.join(small(lists), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -109,7 +110,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["c1", "c2", "doc_id", "line", "head", "tail", "words"])
 
-    return both.select("doc_id", "text", "parts").mapInArrow(run, "c1 long, c2 long, doc_id long, line int, head boolean, tail boolean, words binary")
+    return map_batches(both.select("doc_id", "text", "parts"), run, "c1 long, c2 long, doc_id long, line int, head boolean, tail boolean, words binary")
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -147,7 +148,7 @@ def variants(lines: DataFrame) -> DataFrame:
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(role), *(batch.column(c).take(take) for c in ("c1", "c2", "doc_id", "line"))], ["key", "role", "c1", "c2", "doc_id", "line"])
 
-    return lines.mapInArrow(run, "key long, role byte, c1 long, c2 long, doc_id long, line int")
+    return map_batches(lines, run, "key long, role byte, c1 long, c2 long, doc_id long, line int")
 
 
 def meetings(neighbourhood: DataFrame) -> DataFrame:
@@ -184,7 +185,7 @@ def verified(met: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
                 ok.append(min(len(a), len(b)) >= min_words and within_one_edit(a, b))
             yield batch.select(["c1", "c2"]).filter(pa.array(ok))
 
-    return both.select("c1", "c2", "x", "y").mapInArrow(run, "c1 long, c2 long").distinct()
+    return map_batches(both.select("c1", "c2", "x", "y"), run, "c1 long, c2 long").distinct()
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int = 1) -> DataFrame:
@@ -193,23 +194,23 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int =
         raise ValueError("max_edits must be 0 or 1")
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     rows = cut(line_rows(docs), "lines")
-    lines = distinct_lines(rows)
+    lines = cut(distinct_lines(rows), "lines")
+    first = lines.select("c1", "c2", F.col("doc_id").alias("least"))
     if max_edits:
-        lines = cut(lines, "lines")
-        near = lines.join(half_sharers(lines, min_words), ["c1", "c2"]).select("c1", "c2", "doc_id", "line", "head", "tail")
-        texts = line_texts(docs, cut(near, "lines"))
-        edited = verified(meetings(variants(texts)), texts, min_words).withColumn("edited", F.lit(True))
-        first = lines.select("c1", "c2", F.col("doc_id").alias("least")).join(edited, ["c1", "c2"], "left")
+        near = lines.where(F.col("n") >= min_words).join(half_sharers(rows, min_words), "c1")
+        texts = cut(line_texts(docs, near), "lines")
+        edited = cut(verified(meetings(variants(texts)), texts, min_words), "lines")
+        first = first.join(small(edited.withColumn("edited", F.lit(True))), ["c1", "c2"], "left")
     else:
-        first = lines.select("c1", "c2", F.col("doc_id").alias("least"), F.lit(None).cast("boolean").alias("edited"))
+        first = first.withColumn("edited", F.lit(None).cast("boolean"))
     met = rows.select("c1", "c2", "doc_id").join(first, ["c1", "c2"]).where(F.col("edited") | (F.col("doc_id") > F.col("least")))
-    return met.groupBy("doc_id").agg(F.collect_list("c1").alias("gone"))
+    return cut(met.groupBy("doc_id").agg(F.collect_list("c1").alias("gone")), "lines")
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int = 1) -> DataFrame:
     """``docs`` with repeated lines cut from ``text``, and ``n_lines`` and ``n_removed`` (lines with a word)."""
     gone = repeated_lines(docs, min_words, max_edits)
-    both = docs.drop("gone", "n_lines", "n_removed").join(gone.hint("shuffle_hash"), "doc_id", "left")
+    both = docs.drop("gone", "n_lines", "n_removed").join(small(gone), "doc_id", "left")
     fields = [f for f in both.schema.fields if f.name != "gone"]
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
 
@@ -241,4 +242,4 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits:
                 out = pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if f.name == "text" else batch.column(f.name) for f in fields], [f.name for f in fields])
                 yield with_column(with_column(out, "n_lines", pa.array(count(text))), "n_removed", pa.array(count(text[drop])))
 
-    return both.mapInArrow(run, schema)
+    return map_batches(both, run, schema)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -25,3 +26,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows up to which a side of a join is broadcast; beyond it the join shuffles.
+BROADCAST_ROWS = 400_000
+
+
+def small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, which should be written already, marked for broadcast if it has at most ``bound`` rows."""
+    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df.hint("shuffle_hash")
