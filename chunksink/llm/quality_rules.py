@@ -121,7 +121,7 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
 def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
     """``docs`` with the measures, ``base_failed`` and ``kept``."""
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "bullet_line_ratio", "ellipsis_line_ratio", "n_lines"]
-    out = docs.withColumn("_m", measures(F.col(f"`{text}`"))).withColumns({c: F.col("_m")[c] for c in own}).drop("_m")
+    out = docs.withColumn("__measures", measures(F.col(f"`{text}`"))).withColumns({c: F.col("__measures")[c] for c in own}).drop("__measures")
     words = F.greatest(F.col("n_words"), F.lit(1))
     out = out.withColumns(
         {

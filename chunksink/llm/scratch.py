@@ -2,22 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; local sessions without that setting use a temporary folder."""
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not (spark.sparkContext.master or "").startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = f"file://{tempfile.gettempdir()}/checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from chunksink.sources.shared import shared_dir
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -35,3 +23,6 @@ BROADCAST_ROWS = 400_000
 def small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, which should be written already, marked for broadcast if it has at most ``bound`` rows."""
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df.hint("shuffle_hash")
+
+
+__all__ = ["BROADCAST_ROWS", "cut", "shared_dir", "small"]
