@@ -54,7 +54,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     probes = named.select("_doc", F.explode(F.filter(shingle_hashes(F.col("_text"), k), lambda h: h <= top)).alias("_hash"))
     pairs = probes.join(small(sketches, bound), "_hash").select("_doc", "_item").distinct()
     candidates = cut(pairs, "candidates")
-    held = named.join(small(candidates, bound), "_doc").join(small(own.select("_item", "_shingles"), bound), "_item")
+    held = named.join(small(candidates, bound), "_doc").join(small(own.select("_item", "_shingles"), bound, "_shingles"), "_item")
     counted = held.select("_doc", "_item", F.size(F.array_intersect("_shingles", shingles(F.col("_text"), k))).alias("n_shared"), F.size("_shingles").alias("n_shingles"))
     found = counted.where(F.col("n_shared") >= F.col("n_shingles") * containment)
     return found.groupBy(F.col("_doc").alias(doc_id), F.col("_item").alias(item_id)).agg(F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))

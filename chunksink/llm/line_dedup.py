@@ -95,7 +95,7 @@ def half_sharers(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(c1, c2, doc_id, line, head, tail, words): the words of the wanted lines at their places."""
     lists = cut(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "c1", "c2", "head", "tail")).alias("parts")), "lines")
-    both = docs.join(small(lists), "doc_id")
+    both = docs.join(small(lists, lists="parts"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -210,7 +210,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int =
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int = 1) -> DataFrame:
     """``docs`` with repeated lines cut from ``text``, and ``n_lines`` and ``n_removed`` (lines with a word)."""
     gone = repeated_lines(docs, min_words, max_edits)
-    both = docs.drop("gone", "n_lines", "n_removed").join(small(gone), "doc_id", "left")
+    both = docs.drop("gone", "n_lines", "n_removed").join(small(gone, lists="gone"), "doc_id", "left")
     fields = [f for f in both.schema.fields if f.name != "gone"]
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
 

@@ -16,13 +16,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows up to which a side of a join is broadcast; beyond it the join shuffles.
+#: Rows, or list elements, up to which a side of a join is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 400_000
 
 
-def small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, which should be written already, marked for broadcast if it has at most ``bound`` rows."""
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df.hint("shuffle_hash")
+def small(df: DataFrame, bound: int = BROADCAST_ROWS, lists: str | None = None) -> DataFrame:
+    """``df``, which should be written already, marked for broadcast if its rows, or the elements of ``lists``, are within ``bound``."""
+    held = df.agg(F.sum(F.greatest(F.size(lists), F.lit(1)) if lists else F.lit(1)).alias("n")).first()["n"] or 0
+    return F.broadcast(df) if held <= bound else df.hint("shuffle_hash")
 
 
 __all__ = ["BROADCAST_ROWS", "cut", "shared_dir", "small"]
