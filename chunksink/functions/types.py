@@ -81,6 +81,9 @@ class Binary(Type):
         return F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
 
 
+_BITS = {"byte": 8, "tinyint": 8, "short": 16, "smallint": 16, "integer": 32, "int": 32, "long": 64, "bigint": 64}
+
+
 @dataclass(frozen=True)
 class _Integer(Type):
     low: int
@@ -93,13 +96,18 @@ class _Integer(Type):
         return _is_number(kind)
 
     def convert(self, value: Column, kind: T.DataType, name: str) -> Column:
+        message = f"{name}: out of range [{self.low}, {self.high}]"
+        if (bits := _BITS.get(kind.typeName())) is not None:  # stays in integers, and needs no check where every value fits
+            least, most = -(1 << (bits - 1)), (1 << (bits - 1)) - 1
+            ok = ([value >= self.low] if least < self.low else []) + ([value <= self.high] if most > self.high else [])
+            return (_check(value, ok[0] & ok[-1], message) if ok else value).cast(self.spark)
         if isinstance(kind, (T.FloatType, T.DoubleType)):
             value = _check(value, value == F.floor(value), f"{name}: not an integer")
         elif isinstance(kind, T.DecimalType) and kind.scale:
             value = _check(value, value == F.floor(value), f"{name}: not an integer")
         wide = value.cast("decimal(38,0)")
         bound = lambda x: F.lit(str(x)).cast("decimal(38,0)")
-        return _check(wide, (wide >= bound(self.low)) & (wide <= bound(self.high)), f"{name}: out of range [{self.low}, {self.high}]").cast(self.spark)
+        return _check(wide, (wide >= bound(self.low)) & (wide <= bound(self.high)), message).cast(self.spark)
 
     def size(self, value: Column) -> Column:
         return _fixed(value, self.width)

@@ -28,6 +28,18 @@ def test_integer_ranges(spark, kind, low, high):
             one(spark, kind, Decimal(bad), "decimal(38,0)")
 
 
+def test_integer_sources(spark):
+    for kind, low, high in LIMITS:
+        for ddl, bits in (("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64)):
+            least, most = -(1 << (bits - 1)), (1 << (bits - 1)) - 1
+            for v in {max(low, least), min(high, most)}:
+                assert int(one(spark, kind, v, ddl)) == v
+            for v in {low - 1, high + 1}:
+                if least <= v <= most:
+                    with pytest.raises(Exception, match="out of range"):
+                        one(spark, kind, v, ddl)
+
+
 def test_other_checks(spark):
     for kind, value, ddl, message in [
         (t.Int32(), 1.5, "double", "not an integer"),
