@@ -12,7 +12,8 @@ their deletion neighbourhood as hashed keys: the line without word i, for every
 i in the half that may differ. Lines meet by equal variants, the earliest of a
 variant stands for it, and each meeting is verified by the edit distance of the
 words. Every step aggregates by key before it joins, so a hot line or variant is
-no group that a task has to hold.
+no group that a task has to hold. The sides of the joins grow with the corpus, so
+they shuffle at every size.
 
 Null and empty texts have no lines. Rows with a null id stay as they are and
 are no source. Rows that share an id lose the same line numbers as the first
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from chunksink.llm.arrow import map_batches
 from chunksink.llm import sequences
 from chunksink.llm.bpe import slices, with_column
-from chunksink.llm.scratch import cut, small
+from chunksink.llm.scratch import cut
 
 MIN_WORDS = 8
 SLICE_BYTES = 1 << 20
@@ -95,7 +96,7 @@ def half_sharers(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(c1, c2, doc_id, line, head, tail, words): the words of the wanted lines at their places."""
     lists = cut(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "c1", "c2", "head", "tail")).alias("parts")), "lines")
-    both = docs.join(small(lists, lists="parts"), "doc_id")
+    both = docs.join(lists.hint("shuffle_hash"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -200,7 +201,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int =
         near = lines.where(F.col("n") >= min_words).join(half_sharers(rows, min_words), "c1")
         texts = cut(line_texts(docs, near), "lines")
         edited = cut(verified(meetings(variants(texts)), texts, min_words), "lines")
-        first = first.join(small(edited.withColumn("edited", F.lit(True))), ["c1", "c2"], "left")
+        first = first.join(edited.withColumn("edited", F.lit(True)).hint("shuffle_hash"), ["c1", "c2"], "left")
     else:
         first = first.withColumn("edited", F.lit(None).cast("boolean"))
     met = rows.select("c1", "c2", "doc_id").join(first, ["c1", "c2"]).where(F.col("edited") | (F.col("doc_id") > F.col("least")))
@@ -210,7 +211,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int =
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int = 1) -> DataFrame:
     """``docs`` with repeated lines cut from ``text``, and ``n_lines`` and ``n_removed`` (lines with a word)."""
     gone = repeated_lines(docs, min_words, max_edits)
-    both = docs.drop("gone", "n_lines", "n_removed").join(small(gone, lists="gone"), "doc_id", "left")
+    both = docs.drop("gone", "n_lines", "n_removed").join(gone.hint("shuffle_hash"), "doc_id", "left")
     fields = [f for f in both.schema.fields if f.name != "gone"]
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
 
