@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from chunksink.llm.arrow import map_batches
 
 MEMO_ENTRIES = 150_000
+SLICE_BYTES = 1 << 20
 #: The pre-tokenisation pattern of the vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -206,16 +207,24 @@ def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*(f for f in df.schema.fields if f.name != name), T.StructField(name, kind)])
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with ``ids``, the encoded whole text."""
+def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with ``ids``, the encoded whole text, and ``decoded``, if named: the text that these ids decode to.
+
+    Naming ``decoded`` spares a second Python worker beside each task.
+    """
+    schema = _schema(docs, ids, T.BinaryType())
+    if decoded:
+        schema = T.StructType([*(f for f in schema.fields if f.name != decoded), T.StructField(decoded, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
         for whole in batches:
-            for batch in slices(whole, text):
-                yield with_column(batch, ids, pa.array(bpe.encode_batch(batch.column(text).to_pylist()), pa.binary()))
+            for batch in slices(whole, text, SLICE_BYTES):
+                coded = bpe.encode_batch(batch.column(text).to_pylist())
+                out = with_column(batch, ids, pa.array(coded, pa.binary()))
+                yield with_column(out, decoded, pa.array([bpe.decode(x) for x in coded], pa.string())) if decoded else out
 
-    return map_batches(docs, run, _schema(docs, ids, T.BinaryType()))
+    return map_batches(docs, run, schema)
 
 
 def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

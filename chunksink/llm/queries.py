@@ -67,7 +67,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/b
 
 
 def bpe_digest(docs: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary).select("doc_id", "ids"), vocabulary)
+    coded = bpe.encode(docs.select("doc_id", "text"), vocabulary, decoded="decoded")
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

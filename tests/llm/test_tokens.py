@@ -90,3 +90,13 @@ def test_bpe_columns(spark):
     got = bpe.decode(bpe.encode(df, BYTE), BYTE).orderBy("doc_id").collect()
     assert [r.decoded for r in got] == ["", "", "The end. <|endoftext|>", "The end. <|endoftext|>"]
     assert bpe.encode(df.limit(0), BYTE).count() == 0
+
+
+def test_one_pass_equals_two(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(odd_texts(200))], "doc_id long, text string, decoded string")
+    once = bpe.encode(df, BYTE, decoded="decoded")
+    twice = bpe.decode(bpe.encode(df, BYTE), BYTE)
+    rows = lambda d: sorted(map(tuple, d.select("doc_id", "ids", "decoded").collect()))
+    assert once.columns == ["doc_id", "text", "ids", "decoded"]
+    assert rows(once) == rows(twice)
+    assert bpe.encode(df.limit(0), BYTE, decoded="decoded").count() == 0
