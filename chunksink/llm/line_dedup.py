@@ -1,10 +1,10 @@
-"""Line dedup: lines within one word edit of an earlier line go.
+"""Line dedup: lines within a few word edits of an earlier line go.
 
 A line is the words of one ``\\n``-separated line; lines without a word stay.
 Line x is earlier than y if its document's id is smaller, or the same and x
 stands above. A line goes if an earlier line has the same words or, for lines of
-``MIN_WORDS`` words or more, differs by one word inserted, deleted or replaced.
-All lines are judged on the input, so the result has no order of evaluation.
+``MIN_WORDS`` words or more, differs by words inserted, deleted or replaced: one
+for every ``WORDS_PER_EDIT`` words of the shorter line, and one at least. All lines are judged on the input, so the result has no order of evaluation.
 
 Equal lines collapse first. Two lines within one edit share their first or last
 half, so lines that share no half with another are settled. The others emit
@@ -15,6 +15,11 @@ words. Every step aggregates by key before it joins, so a hot line or variant is
 no group that a task has to hold. The sides of the joins grow with the corpus, so
 they shuffle at every size.
 
+Two edits or more: k edits touch at most k * ``GRAM`` of a line's ranges of
+``GRAM`` words, so the lines meet at one of the first k * ``GRAM`` + 1 in a common
+order (``prefixes``). A line is held against the earliest of each meeting first,
+and only if none of these is near against all other earlier lines it meets.
+
 Null and empty texts have no lines. Rows with a null id stay as they are and
 are no source. Rows that share an id lose the same line numbers as the first
 that holds them; a removed line is found again by its words.
@@ -31,11 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunksink.llm.arrow import map_batches
-from chunksink.llm import sequences
+from chunksink.llm import prefixes, sequences
 from chunksink.llm.bpe import slices, with_column
 from chunksink.llm.scratch import cut
 
 MIN_WORDS = 8
+WORDS_PER_EDIT = 10
+GRAM = 4
 SLICE_BYTES = 1 << 20
 LINE = "c1 long, c2 long, n int, doc_id long, line int, pre long, suf long, pre2 long, suf2 long"
 
@@ -163,17 +170,40 @@ def meetings(neighbourhood: DataFrame) -> DataFrame:
     return met.where(earlier).select("c1", "c2", F.col("w.c1").alias("w1"), F.col("w.c2").alias("w2")).distinct()
 
 
-def within_one_edit(a: list[bytes], b: list[bytes]) -> bool:
-    """Whether two word sequences differ by at most one insertion, deletion or replacement."""
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > 1:
-        return False
-    k = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
-    return a[k + (len(a) == len(b)) :] == b[k + 1 :]
+def edits_allowed(n: int) -> int:
+    """Edits between lines of which the shorter has ``n`` words."""
+    return max(1, n // WORDS_PER_EDIT)
 
 
-def verified(met: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
+def within_edits(a: list[bytes], b: list[bytes], most: int) -> bool:
+    """Whether at most ``most`` words are inserted, deleted or replaced between two word sequences (Myers' bit vectors)."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    k = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    a, b = a[k:], b[k:]
+    k = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b), strict=False)) if x != y), min(len(a), len(b)))
+    a, b = a[: len(a) - k], b[: len(b) - k]
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    at: dict[bytes, int] = {}
+    for i, w in enumerate(a):
+        at[w] = at.get(w, 0) | 1 << i
+    full, top, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
+    up, down = full, 0
+    for left, w in zip(range(len(b) - 1, -1, -1), b, strict=True):
+        same = at.get(w, 0)
+        v = same | down
+        h = (((same & up) + up) ^ up) | same
+        more, less = down | ~(h | up) & full, up & h
+        score += bool(more & top) - bool(less & top)
+        if score - left > most:
+            return False
+        more, less = (more << 1 | 1) & full, less << 1 & full
+        up, down = less | ~(v | more) & full, more & v
+    return score <= most
+
+
+def verified(met: DataFrame, lines: DataFrame, min_words: int, grows: bool = False) -> DataFrame:
     """(c1, c2) of the lines whose edit distance to a met line holds."""
     text = lines.select("c1", "c2", "words")
     both = met.join(text, ["c1", "c2"]).withColumnRenamed("words", "x").join(text.select(F.col("c1").alias("w1"), F.col("c2").alias("w2"), F.col("words").alias("y")), ["w1", "w2"])
@@ -183,24 +213,62 @@ def verified(met: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
             ok = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 a, b = x.split(), y.split()
-                ok.append(min(len(a), len(b)) >= min_words and within_one_edit(a, b))
+                n = min(len(a), len(b))
+                ok.append(n >= min_words and within_edits(a, b, edits_allowed(n) if grows else 1))
             yield batch.select(["c1", "c2"]).filter(pa.array(ok))
 
     return map_batches(both.select("c1", "c2", "x", "y"), run, "c1 long, c2 long").distinct()
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int = 1) -> DataFrame:
-    """(doc_id, gone): for each document, the content hashes of lines that an earlier document settles."""
-    if max_edits not in (0, 1):
-        raise ValueError("max_edits must be 0 or 1")
+def gram_sharers(docs: DataFrame, min_words: int) -> DataFrame:
+    """(key, c1): contents of lines long enough for two edits that meet others."""
+
+    def units(whole: pa.RecordBatch) -> Iterator[prefixes.Cells]:
+        for batch in slices(whole, "text", SLICE_BYTES):
+            t, _, _, a, b = _lines([(x or "").encode("utf-8") for x in batch.column("text").to_pylist()])
+            long = b - a >= max(min_words, 2 * WORDS_PER_EDIT)
+            a, b = a[long], b[long]
+            yield t, sequences.Rolling(t.symbols).of(a, b).view(np.int64), a, b
+
+    return prefixes.sharers(docs, units, GRAM, lambda _, words: GRAM * (words // WORDS_PER_EDIT) + 1, repeats=True).withColumnRenamed("id", "c1")
+
+
+def far_edited(members: DataFrame, settled: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
+    """(c1, c2) of the members within the bound of an earlier one, but for the settled ones."""
+    whole = F.struct("doc_id", "line", "c1", "c2", "n")
+    near = F.abs(F.col("n") - F.col("w.n")) <= F.floor(F.least("n", "w.n") / WORDS_PER_EDIT)
+    earlier = (F.col("w.doc_id") < F.col("doc_id")) | ((F.col("w.doc_id") == F.col("doc_id")) & (F.col("w.line") < F.col("line")))
+    pair = ["c1", "c2", F.col("w.c1").alias("w1"), F.col("w.c2").alias("w2")]
+    left = members.join(settled, ["c1", "c2"], "left_anti")
+    first = members.groupBy("key").agg(F.min(whole).alias("w"))
+    tried = cut(left.join(first, "key").where(earlier & near).select(*pair).distinct(), "lines")
+    found = cut(verified(tried, texts, min_words, True), "lines")
+    left = left.join(found, ["c1", "c2"], "left_anti")
+    rest = left.join(members.select("key", whole.alias("w")), "key").where(earlier & near).select(*pair).distinct()
+    return found.union(verified(rest.join(tried, ["c1", "c2", "w1", "w2"], "left_anti"), texts, min_words, True))
+
+
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int | None = None) -> DataFrame:
+    """(doc_id, gone): for each document, the content hashes of lines that an earlier document settles.
+
+    ``max_edits`` is 0 or 1 for a bound that does not grow with the line.
+    """
+    if max_edits not in (None, 0, 1):
+        raise ValueError("max_edits must be None, 0 or 1")
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     rows = cut(line_rows(docs), "lines")
     lines = cut(distinct_lines(rows), "lines")
     first = lines.select("c1", "c2", F.col("doc_id").alias("least"))
-    if max_edits:
+    if max_edits != 0:
         near = lines.where(F.col("n") >= min_words).join(half_sharers(rows, min_words), "c1")
+        if max_edits is None:
+            members = cut(gram_sharers(docs, min_words).join(lines, "c1"), "lines")
+            far = members.select(*lines.columns, F.lit(False).alias("head"), F.lit(False).alias("tail"))
+            near = near.select(far.columns).union(far.distinct()).groupBy(lines.columns).agg(F.max("head").alias("head"), F.max("tail").alias("tail"))
         texts = cut(line_texts(docs, near), "lines")
-        edited = cut(verified(meetings(variants(texts)), texts, min_words), "lines")
+        edited = cut(verified(meetings(variants(texts.where("head or tail"))), texts, min_words), "lines")
+        if max_edits is None:
+            edited = cut(edited.union(far_edited(members, edited, texts, min_words)).distinct(), "lines")
         first = first.join(edited.withColumn("edited", F.lit(True)).hint("shuffle_hash"), ["c1", "c2"], "left")
     else:
         first = first.withColumn("edited", F.lit(None).cast("boolean"))
@@ -208,7 +276,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int =
     return cut(met.groupBy("doc_id").agg(F.collect_list("c1").alias("gone")), "lines")
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int = 1) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int | None = None) -> DataFrame:
     """``docs`` with repeated lines cut from ``text``, and ``n_lines`` and ``n_removed`` (lines with a word)."""
     gone = repeated_lines(docs, min_words, max_edits)
     both = docs.drop("gone", "n_lines", "n_removed").join(gone.hint("shuffle_hash"), "doc_id", "left")

@@ -1,0 +1,126 @@
+"""Meetings of texts that share most of their word ranges (grams), by prefixes: no such pair is missed.
+
+Put the grams of every text in one order. Two texts of a and b grams that share s
+of them have a common one among their first a - s + 1 and b - s + 1. Any order
+will do; grams that are frequent in a sample of the documents come last, so that
+hot grams are met on only by texts that hold little else. Keys travel packed, by
+bucket, and are paired off bucket by bucket.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chunksink.llm import sequences
+from chunksink.llm.arrow import map_batches
+
+SAMPLE = 32
+HOT_LEAST = 3
+HOT_MOST = 50_000
+BUCKET_BITS = 10
+Cells = tuple[sequences.Texts, np.ndarray, np.ndarray, np.ndarray]
+#: From batches to texts, and of each unit its id, first and last word.
+Units = Callable[[pa.RecordBatch], Iterator[Cells]]
+
+
+def grams(t: sequences.Texts, a: np.ndarray, b: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit and hash of every range of ``gram`` words; a shorter unit is one range."""
+    count = np.maximum(b - a - gram + 1, 1)
+    of = np.repeat(np.arange(len(a)), count)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + a[of]
+    return of, sequences.Rolling(t.symbols).of(at, np.minimum(at + gram, b[of]))
+
+
+def numbered(of: np.ndarray, h: np.ndarray, repeats: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (unit, gram, key); with ``repeats`` the second of equal grams in a unit has a key of its own, and so on."""
+    order = np.lexsort((h, of))
+    of, h = of[order], h[order]
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (h[1:] != h[:-1])
+    if not repeats:
+        return of[new], h[new], h[new]
+    at = np.arange(len(of))
+    again = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
+    return of, h, sequences.mix(h ^ again * np.uint64(0x9E3779B97F4A7C15))
+
+
+def hot_grams(docs: DataFrame, units: Units, gram: int) -> np.ndarray:
+    """The most frequent grams of a sample of the documents, sorted; they only steer the order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for t, _, a, b in units(whole):
+                _, h, _ = numbered(*grams(t, a, b, gram), False)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+    some = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SAMPLE)) == 0)
+    rows = map_batches(some, run, "h long").groupBy("h").count().where(F.col("count") >= HOT_LEAST).orderBy(F.desc("count"), "h").limit(HOT_MOST).collect()
+    return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
+
+
+def sharers(docs: DataFrame, units: Units, gram: int, need: Callable[[np.ndarray, np.ndarray], np.ndarray], repeats: bool) -> DataFrame:
+    """(key, id): groups of units that have a gram in common within their prefixes; ``need`` gives these from numbers of grams and of words.
+
+    The key is that of the group's members, so units that meet at many grams do so once.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(hot_grams(docs, units, gram))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = held.value
+        for whole in batches:
+            for t, ids, a, b in units(whole):
+                if not len(ids):
+                    continue
+                _, one = np.unique(ids, return_index=True)
+                ids, a, b = ids[one], a[one], b[one]
+                of, h, key = numbered(*grams(t, a, b, gram), repeats)
+                last = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h if len(hot) else np.zeros(len(h), bool)
+                order = np.lexsort((key, last, of))
+                of, key = of[order], key[order]
+                size = np.bincount(of, minlength=len(ids))
+                rank = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+                keep = rank < need(size, b - a)[of]
+                of, key = of[keep], key[keep]
+                order = np.argsort(key)
+                key, who = key[order], ids[of[order]]
+                bucket = (key >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                ends = np.append(first[1:], len(key))
+                parts = [(int(bucket[x]), key[x:y].tobytes(), who[x:y].tobytes()) for x, y in zip(first.tolist(), ends.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*parts, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "keys", "ids"])
+
+    def settle(held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        key = np.frombuffer(b"".join(k for k, _ in held), np.int64)
+        who = np.frombuffer(b"".join(i for _, i in held), np.int64)
+        order = np.lexsort((who, key))
+        key, who = key[order], who[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (who[1:] != who[:-1]))
+        key, who = key[new], who[new]
+        same = key[1:] == key[:-1]
+        met = np.append(same, False) | np.append(False, same)
+        if met.any():
+            key, who = key[met], who[met]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            members = sequences.mix(np.add.reduceat(sequences.mix(who.view(np.uint64)), first))
+            key = np.repeat(members, np.diff(np.append(first, len(key))))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(who)], ["key", "id"])
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for bucket, keys, ids in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "ids")), strict=True):
+                if bucket != now and held:
+                    yield from settle(held)
+                    held = []
+                now = bucket
+                held.append((keys, ids))
+        if held:
+            yield from settle(held)
+
+    packed = map_batches(docs, pack, "bucket int, keys binary, ids binary")
+    return map_batches(packed.repartition("bucket").sortWithinPartitions("bucket"), pair, "key long, id long").distinct()

@@ -68,3 +68,35 @@ def test_null_ids_and_empty_table(spark):
     out = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), 1)
     assert {r.doc_id: r.text for r in out.collect()} == dict(rows)
     assert line_dedup.drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("vocabulary", [5, 300])
+def test_bound_grows_with_the_line(spark, vocabulary):
+    r = random.Random(vocabulary)
+    words = [f"w{i}" for i in range(vocabulary)]
+    pool = [[r.choice(words) for _ in range(r.choice([15, 22, 39, 41, 60, 85]))] for _ in range(25)]
+    rows = []
+    for i in range(90):
+        w = list(r.choice(pool))
+        for _ in range(r.randint(0, len(w) // 8)):
+            k = r.randrange(len(w))
+            w[k : k + r.randint(0, 1)] = [r.choice(words)] * r.randint(0, 1)
+        rows.append((i, " ".join(w)))
+    want = set()
+    for d, t in rows:
+        for e, s in rows[:d]:
+            x, y = t.split(), s.split()
+            if distance(x, y) <= max(1, min(len(x), len(y)) // 10):
+                want.add(d)
+    assert any(all(distance(rows[d][1].split(), s.split()) > 1 for _, s in rows[:d]) for d in want)
+    out = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {x.doc_id for x in out.collect() if x.n_removed} == want
