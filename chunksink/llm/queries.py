@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +12,6 @@ from chunksink.llm import bpe, decontaminate, html_text, line_dedup, quality_rul
 from chunksink.llm.scratch import shared_dir
 
 
-TOKENIZERS = "/opt/tokenizers"
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,7 +43,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-def op6_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/word_bpe_49k.json") -> DataFrame:
+def op6_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
     folder = shared_dir(spark, "token-ids")
     simple8b.write_ids(_table(spark, sf_dir, "documents"), folder, vocabulary, end_id=1)
     ids = F.col("ids")
@@ -62,11 +60,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
+def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
     return bpe_digest(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
 
 
-def bpe_digest(docs: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
+def bpe_digest(docs: DataFrame, vocabulary: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
     coded = bpe.encode(docs.select("doc_id", "text"), vocabulary, decoded="decoded")
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

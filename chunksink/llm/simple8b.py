@@ -13,13 +13,14 @@ repeated ids keep one row each; null or empty texts get the end id alone.
 
 from __future__ import annotations
 
-import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -181,12 +182,40 @@ def parse(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 
 # Anything but common letters, marks and white space, about which regular expression engines agree; or a special token.
-_ODD = re.compile("[^\t-\r\x20-\x7e\xa1-ɏЀ-џぁ-ゖァ-ヺ一-龥–—‘-„•…€]|<\\|")
+_ODD = "[^\t-\r\x20-\x7e\xa1-ɏЀ-џぁ-ゖァ-ヺ一-龥–—‘-„•…€]|<\\|"
 #: The pre-tokens of the vocabulary (fixed value).
 _PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _TOKENIZERS: dict = {}
 
 
+class _Memo:
+    """Ids of strings: a number for each string, and where its ids lie in one array."""
+
+    def __init__(self) -> None:
+        self.of: dict[str, int] = {}
+        self.begin, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def add(self, names: list[str], size: np.ndarray, ids: np.ndarray) -> None:
+        self.begin = np.concatenate([self.begin, np.cumsum(size) - size + len(self.ids)])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids])
+        self.of.update(zip(names, range(len(self.of), len(self.of) + len(names)), strict=True))
+
+    def gather(self, names: Iterable[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``n`` known strings, one after the other, and the count of each."""
+        slot = np.fromiter(map(self.of.__getitem__, names), np.int64, n)
+        size = self.size[slot]
+        shift = self.begin[slot] - (np.cumsum(size) - size)
+        return self.ids[np.arange(int(size.sum())) + np.repeat(shift, size)], size
+
+
+def _per(group: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of ``size`` over consecutive groups of ``group`` members each."""
+    total = np.append(0, np.cumsum(size))
+    ends = np.cumsum(group)
+    return total[ends] - total[ends - group]
+
+
 class _Words:
     """The tokenizer with bounded memos of words and of their pre-tokens.
 
@@ -201,39 +230,49 @@ class _Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = _Memo(), _Memo()
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn_parts(self, parts: list[str]) -> None:
         """Encode new pre-tokens, many as one text: each ends with its only token that closes a word."""
         for at in range(0, len(parts), 5000):
             piece = parts[at : at + 5000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(piece)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
-            if len(ends) == len(piece) and ends[-1] == 4 * len(ids):
-                raw = ids.tobytes()
-                self.parts.update((p, raw[a:b]) for p, a, b in zip(piece, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
-            else:
-                self.parts.update(zip(piece, self._ids(piece), strict=True))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        for memo in (self.words, self.parts):
-            if len(memo) > MEMO_ENTRIES:
-                memo.clear()
-        words, parts = self.words, self.parts
-        plain = [bool(t) and not _ODD.search(t) and is_normalized("NFC", t) for t in texts]
-        split = [t.split() if ok else [] for t, ok in zip(texts, plain, strict=True)]
-        missing = list(set().union(*split).difference(words))
-        cut = [[w] if w.isalpha() else _PRE_TOKENS.findall(w) for w in map(str.lower, missing)]
-        self._learn(list({p for c in cut for p in c if p not in parts}))
-        words.update((w, parts[c[0]] if len(c) == 1 else b"".join(map(parts.__getitem__, c))) for w, c in zip(missing, cut, strict=True))
-        return [b"".join(map(words.__getitem__, own)) if ok else self._ids([t])[0] if t else b"" for t, ok, own in zip(texts, plain, split, strict=True)]
+            ids = self._ids(" ".join(piece))
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(piece) or ends[-1] != len(ids):
+                each = [self._ids(p) for p in piece]
+                ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
+            self.parts.add(piece, np.diff(ends, prepend=0), ids)
+
+    def _learn_words(self, words: list[str]) -> None:
+        cut = [[w] if w.isalpha() else [w[:-1], w[-1]] if w[-1] in ".,;:!?" and w[:-1].isalpha() else _PRE_TOKENS.findall(w) for w in map(str.lower, words)]
+        self._learn_parts(list(set(chain.from_iterable(cut)).difference(self.parts.of)))
+        group = np.fromiter(map(len, cut), np.int64, len(cut))
+        ids, size = self.parts.gather(chain.from_iterable(cut), int(group.sum()))
+        self.words.add(words, _per(group, size), ids)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one after the other, and the count of each."""
+        if max(len(self.words.of), len(self.parts.of)) > MEMO_ENTRIES:
+            self.words, self.parts = _Memo(), _Memo()
+        odd = pc.match_substring_regex(pa.array([t or "" for t in texts], pa.large_string()), _ODD).to_numpy(zero_copy_only=False)
+        plain = [not x and is_normalized("NFC", t or "") for t, x in zip(texts, odd.tolist(), strict=True)]
+        split = [(t or "").split() if ok else [] for t, ok in zip(texts, plain, strict=True)]
+        self._learn_words(list(set(chain.from_iterable(split)).difference(self.words.of)))
+        group = np.fromiter(map(len, split), np.int64, len(split))
+        ids, size = self.words.gather(chain.from_iterable(split), int(group.sum()))
+        size = _per(group, size)
+        whole = {k: self._ids(t) for k, (t, ok) in enumerate(zip(texts, plain, strict=True)) if t and not ok}
+        if whole:
+            cells = np.split(ids, np.cumsum(size)[:-1])
+            cells = [whole.get(k, x) for k, x in enumerate(cells)]
+            ids, size = np.concatenate(cells), np.fromiter(map(len, cells), np.int64, len(cells))
+        return ids, size
 
 
 def _words(path: str) -> _Words:
@@ -263,25 +302,26 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_id
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        end, part, seq = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
+        part, seq, size = TaskContext.get().partitionId(), 0, 0
         ids: list[int | None] = []
-        held: list[bytes] = []
-        size = 0
+        lengths: list[np.ndarray] = []
+        values: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             name = f"ids-{part:06d}-{seq:06d}.s8b"
-            _save(folder, name, dump(ids, np.array([len(x) // 4 for x in held]), np.frombuffer(b"".join(held), "<u4")))
+            _save(folder, name, dump(ids, np.concatenate(lengths), np.concatenate(values)))
             return pa.RecordBatch.from_pylist([{"file": name, "part": part, "seq": seq, "n_docs": len(ids), "n_ids": size}])
 
         for whole in batches:
             for batch in slices(whole, text, 1 << 21):
-                for i, x in zip(batch.column(doc_id).to_pylist(), _words(vocabulary).encode(batch.column(text).to_pylist()), strict=True):
-                    ids.append(i)
-                    held.append(x + end)
-                    size += len(x) // 4 + 1
-                    if size >= FILE_IDS:
-                        yield flush()
-                        seq, size, ids, held = seq + 1, 0, [], []
+                found, count = _words(vocabulary).encode(batch.column(text).to_pylist())
+                ids += batch.column(doc_id).to_pylist()
+                lengths.append(count + 1)
+                values.append(np.insert(found, np.cumsum(count), end_id))
+                size += len(values[-1])
+                if size >= FILE_IDS:
+                    yield flush()
+                    seq, size, ids, lengths, values = seq + 1, 0, [], [], []
         if ids:
             yield flush()
 

@@ -1,12 +1,13 @@
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from chunksink.llm import bpe, simple8b
 
-BYTE, WORD = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/word_bpe_49k.json"
+BYTE, WORD = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
 
 def odd_texts(n=4000):
@@ -52,8 +53,13 @@ def test_ranks_that_a_merge_can_undercut(tmp_path):
 
 
 def test_word_ids_match_the_library():
-    texts = odd_texts()
-    assert listed(simple8b._Words(WORD).encode(texts)) == ids_of(Tokenizer.from_file(WORD), texts)
+    texts, own = odd_texts(), simple8b._Words(WORD)
+    want = ids_of(Tokenizer.from_file(WORD), texts)
+    for _ in range(2):  # with and without its memo
+        ids, size = own.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == want
+    ids, size = own.encode([])
+    assert len(ids) == len(size) == 0
 
 
 @pytest.mark.parametrize("n", [0, 1, 5, 1023, 1024, 1025, 20_000])
