@@ -1,14 +1,16 @@
 """Toxicity: a linear classifier over words, regularised by counterfactuals.
 
 Features are the distinct lower-cased words of a text and their prefixes of 4
-and 6 letters (identity terms have no prefixes), hashed to ``BUCKETS``. The logistic loss carries an L1 term and a
-counterfactual term: for each labelled text with an identity term, the term is
-swapped for others of the list, and for a neutral word, and the squared change
-of the score (before the logistic function) is penalised, so that the mere
-mention of a group does not move the score.
+and 6 letters (identity terms have no prefixes), hashed to ``BUCKETS``. The
+logistic loss carries an L1 term and a counterfactual term: in each labelled
+text, its identity terms are swapped for others of the list and for neutral
+words, or, if it has none, a neutral word is swapped for an identity term; the
+squared change of the score (before the logistic function) is penalised, so that
+the mere mention of a group does not move the score.
 
 The fit uses a bounded sample of labelled rows (``max_rows``, the smallest
-hashes of their ids); scoring covers every whole text. Null and empty texts have
+hashes of their ids; one document each, of which a set of features reaches the
+driver); scoring covers every whole text. Null and empty texts have
 no features and get the intercept's score. Several labels of one id count as
 their maximum; labels without a document, or null, are left out. Without two
 classes in the sample every score is the base rate (0 if there are no labels).
@@ -36,11 +38,14 @@ MAX_ROWS = 12_000
 MEMO_ENTRIES = 150_000
 THRESHOLD = 0.3
 
-# Terms that name groups of people.
+# Terms that name groups of people, in the languages of the corpus.
 IDENTITY_TERMS = [
     "muslim", "muslims", "jewish", "jews", "christian", "christians", "hindu", "buddhist", "atheist", "catholic", "black", "white", "asian", "african",
     "latino", "hispanic", "arab", "immigrant", "immigrants", "refugee", "refugees", "gay", "lesbian", "bisexual", "transgender", "queer", "straight",
     "woman", "women", "man", "men", "female", "male", "disabled", "deaf", "blind", "old", "young", "american", "mexican", "chinese", "indian", "european",
+    "muslime", "jude", "juden", "christ", "christen", "schwarze", "weiße", "araber", "ausländer", "flüchtling", "flüchtlinge", "frau", "frauen", "mann", "männer", "behinderte", "alte", "junge", "türke", "türken",
+    "musulman", "musulmans", "juif", "juifs", "chrétien", "chrétiens", "noir", "noirs", "blanc", "blancs", "arabe", "arabes", "étranger", "étrangers", "réfugié", "femme", "femmes", "homme", "hommes", "vieux", "jeune", "africain",
+    "musulmán", "musulmanes", "judío", "judíos", "cristiano", "cristianos", "negro", "negros", "blanco", "blancos", "árabe", "árabes", "extranjero", "extranjeros", "refugiado", "mujer", "mujeres", "hombre", "hombres", "viejo", "joven",
 ]
 
 _IDENTITY = frozenset(IDENTITY_TERMS)
@@ -85,8 +90,31 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
+def _swaps(doc: np.ndarray, cols: np.ndarray, seen: np.ndarray, named: np.ndarray, neutral: np.ndarray, swaps: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features out and in of the counterfactual sentences, and the weight of what comes in: 0 for a neutral word, else 1.
+
+    A sentence with identity terms has each of them swapped, for another or, every
+    second time, for a neutral word. One without has an identity term put in the
+    place of its most frequent word that toxic texts hold no more often.
+    """
+    is_named = np.isin(cols, named)
+    has = np.zeros(int(doc.max()) + 1 if len(doc) else 0, bool)
+    has[doc[is_named]] = True
+    plain = ~has[doc] & neutral[cols]
+    order = np.lexsort((cols[plain], -seen[cols[plain]], doc[plain]))
+    of = doc[plain][order]
+    first = np.append(True, of[1:] != of[:-1]) if len(of) else np.zeros(0, bool)
+    mentions = int(is_named.sum()) * swaps
+    out = np.concatenate([np.repeat(cols[is_named], swaps), cols[plain][order][first]])
+    into = named[np.random.default_rng(0).integers(0, len(named), len(out))]
+    return out, into, (np.arange(len(out)) % 2 == 1) | (np.arange(len(out)) >= mentions)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, l1: float = 4e-4, counterfactual: float = 1.0, swaps: int = 8, steps: int = 150, least_rows: int = 3) -> Model:
-    """Fit by proximal adaptive gradient steps; ``counterfactual`` weighs the squared score changes of identity swaps."""
+    """Fit by proximal adaptive gradient steps; ``counterfactual`` weighs the squared score changes of identity swaps.
+
+    Features are scaled by the logarithm of the ratio of their rates in the two classes.
+    """
     weights = np.zeros(BUCKETS)
     n = len(rows)
     y = np.asarray(labels, float)
@@ -103,38 +131,39 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, l1: float = 4e-4, counterfac
     doc = np.repeat(np.arange(n), lens)[used[cols]]
     cols = index[cols[used[cols]]]
     p = int(used.sum())
-    # Swaps: bucket out, bucket in; every other one goes to a neutral word, which has no weight.
-    is_named = np.zeros(p, bool)
-    is_named[index[named]] = True
-    swap_out = np.repeat(cols[is_named[cols]], swaps)
-    swap_in = index[named][np.random.default_rng(0).integers(0, len(named), len(swap_out))]
-    neutral = np.arange(len(swap_out)) % 2 == 0
+    toxic, other = np.bincount(cols, y[doc], p), np.bincount(cols, 1 - y[doc], p)
+    scale = np.log((toxic + 1) / (y.sum() + 2)) - np.log((other + 1) / (n - y.sum() + 2))
+    scale /= np.sqrt((scale**2).mean()) or 1.0
+    swap_out, swap_in, counts = _swaps(doc, cols, toxic + other, index[named], scale <= 0, swaps)
     w, b = np.zeros(p), float(np.log(rate / (1 - rate)))
     grown, grown_b = np.full(p, 1e-8), 1e-8
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
     for _ in range(steps):
-        s = sigmoid(b + np.bincount(doc, w[cols], n))
+        u = scale * w
+        s = sigmoid(b + np.bincount(doc, u[cols], n))
         err = (s - y) / n
         g = np.bincount(cols, err[doc], p)
         g_b = float(err.sum())
         if counterfactual and len(swap_out):
-            change = 2 * counterfactual * (w[swap_out] - np.where(neutral, 0.0, w[swap_in])) / len(swap_out)
-            g += np.bincount(swap_out, change, p) - np.bincount(swap_in, np.where(neutral, 0.0, change), p)
+            change = 2 * counterfactual * (u[swap_out] - counts * u[swap_in]) / len(swap_out)
+            g += np.bincount(swap_out, change, p) - np.bincount(swap_in, counts * change, p)
+        g *= scale
         grown += g * g
         grown_b += g_b * g_b
         rate_w = 0.3 / np.sqrt(grown)
         w = w - rate_w * g
         w = np.sign(w) * np.maximum(np.abs(w) - rate_w * l1, 0)
         b -= 0.3 / np.sqrt(grown_b) * g_b
-    weights[np.flatnonzero(used)] = w
+    weights[np.flatnonzero(used)] = scale * w
     return Model(weights, b)
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = MAX_ROWS, **settings: float) -> Model:
-    """Fit on at most ``max_rows`` labelled documents."""
+    """Fit on at most ``max_rows`` labelled documents, one a labelled id: of rows that share it, the text with the least hash."""
     wanted = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(doc_id).agg((F.max(label) > 0).cast("int").alias("_y"))
     wanted = wanted.orderBy(F.xxhash64(doc_id), doc_id).limit(max_rows)  # bounded, so it may be broadcast
-    chosen = docs.select(doc_id, text).join(F.broadcast(wanted), doc_id).select("_y", text)
+    held = docs.select(F.col(doc_id).alias("_id"), F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("t")).alias("_t")).join(F.broadcast(wanted.withColumnRenamed(doc_id, "_id")), "_id")
+    chosen = held.groupBy("_id").agg(F.max("_y").alias("_y"), F.min("_t").alias("_t")).select("_y", F.col("_t.t").alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = _Features()

@@ -65,3 +65,29 @@ def test_sample_is_bounded_and_stable(spark):
     a = toxicity.train(docs, known, max_rows=100)
     b = toxicity.train(docs.repartition(5), known.repartition(3), max_rows=100)
     assert np.array_equal(a.weights, b.weights) and a.intercept == b.intercept
+
+
+def test_repeated_ids_count_once(spark):
+    rows, labels = corpus(60, 9)
+    many = [(0, f"idiot {i}") for i in range(500)]
+    docs, known = spark.createDataFrame(rows + many, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    least = min([rows[0][1], *(t for _, t in many)], key=lambda t: spark.sql("SELECT xxhash64(:t)", {"t": t}).first()[0])
+    alone = spark.createDataFrame([(0, least), *rows[1:]], "doc_id long, text string")
+    a, b = toxicity.train(docs, known), toxicity.train(alone, known)
+    assert np.array_equal(a.weights, b.weights) and a.intercept == b.intercept
+
+
+def test_registered_query_on_the_tables(spark):
+    """Held-out rows of the generated tables; and the counterfactual term moves the weights there."""
+    from chunksink.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    known = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    out = queries.op5_toxicity(spark, sf).where("held_out").join(known, "doc_id").where("toxic is not null").collect()
+    toxic = [r.predicted for r in out if r.toxic]
+    assert sum(toxic) >= 0.85 * len(toxic)
+    assert sum(r.predicted for r in out if not r.toxic) <= 0.01 * (len(out) - len(toxic))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    known = toxicity.training_labels(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    plain, fair = (toxicity.train(docs, known, counterfactual=c) for c in (0.0, 1.0))
+    assert np.abs(plain.weights - fair.weights).max() > 1e-3
