@@ -18,6 +18,7 @@ def test_article_alone_is_kept():
         "The first paragraph of the article is long enough to be kept for its own sake.",
         "Short.",
         "See this, a second paragraph with some words of the language in it and a link. Next line",
+        "Read more of that",
     ]
 
 
@@ -39,3 +40,84 @@ def test_table_cases(spark):
     n = len(main_text(PAGE))
     assert sorted(got) == [(1, 0), (2, 0), (3, n), (3, n), (4, 9 * 200_000 - 1)]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_names_inside_an_article():
+    body = "<p>The text of the article is here and it is long enough to be kept as it is.</p>"
+    for kind in ("advert", "comment", "ad-slot", "comments", "related-posts"):
+        assert main_text(f'<article>{body}<p class="{kind}">Some other words that are not of the article at all, as you see.<p>End</article>').endswith("End")
+        assert "other words" not in main_text(f'<article>{body}<ul><li class="{kind}">Some other words that are not of the article.<li>End</ul></article>')
+    for kind in ("related-work", "discussion", "legal"):
+        assert main_text(f'<article><div class="{kind}"><h2>Head</h2>{body}</div></article>').count("\n\n") == 1
+    links = "<article><p><a href=1>A paragraph of the article that is one link and nothing else at all.</a></p><ul><li><a href=2>One</a><li><a href=3>Two</a></ul></article>"
+    assert main_text(links).split("\n\n") == ["A paragraph of the article that is one link and nothing else at all.", "One", "Two"]
+    table = "<article><table><tr><td>a<td class=ad>b<tr><th>c</table></article>"
+    assert main_text(table).split("\n\n") == ["a", "c"]
+
+
+def test_unclosed_elements_hide_nothing():
+    assert main_text("<article><video><p>One.</p><select><p>Two.</article>").split("\n\n") == ["One.", "Two."]
+    assert main_text("<article><video>No</video><p>One.</article>") == "One."
+
+
+def test_many_blocks_take_linear_time():
+    import time
+
+    def seconds(n):
+        page = "<article>" + "<p>short</p>" * n + "</article>"
+        began = time.process_time()
+        assert main_text(page).count("short") == n
+        return time.process_time() - began
+
+    small = seconds(4000)
+    assert seconds(64_000) < 16 * 8 * max(small, 0.02)
+
+
+def test_tables_match_an_independent_reading(spark):
+    """The pages of the generated tables, read by another parser: text of the article but for adverts, block by block."""
+    from html.parser import HTMLParser
+
+    from chunksink.llm import queries
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.off, self.blocks, self.words = False, 0, [], []
+
+        def flush(self):
+            if text := " ".join("".join(self.words).split()):
+                self.blocks.append(text)
+            self.words = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "article":
+                self.inside = True
+            elif tag == "div" and dict(attrs).get("class") == "ad":
+                self.off += 1
+            elif tag == "br":
+                self.words.append(" ")
+            if tag in ("p", "h1", "article", "div"):
+                self.flush()
+
+        def handle_endtag(self, tag):
+            if tag in ("p", "h1", "article", "div"):
+                self.flush()
+            if tag == "article":
+                self.inside = False
+            elif tag == "div" and self.off:
+                self.off -= 1
+
+        def handle_data(self, data):
+            if self.inside and not self.off:
+                self.words.append(data)
+
+    for sf in ("sf0.001", "sf0.01"):
+        pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").collect()
+        want = {}
+        for r in pages:
+            reader = Reader()
+            reader.feed(r.html or "")
+            reader.close()
+            reader.flush()
+            want[r.page_id] = "\n\n".join(reader.blocks)
+        assert {r.page_id: r.text for r in queries.op7_html_text(spark, f"/root/testdata/{sf}").collect()} == want
