@@ -200,6 +200,10 @@ class Timestamp(Type):
         return _fixed(value, 8)
 
 
+#: Sign, integer digits, fraction digits and power of ten of a number's text.
+_NUMBER = r"^\s*([+-]?)(?=\.?\d)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,4}))?\s*$"
+
+
 @dataclass(frozen=True)
 class Decimal(Type):
     """``precision`` digits, ``scale`` of them after the point; further fraction digits are cut, not rounded."""
@@ -223,14 +227,34 @@ class Decimal(Type):
 
     def convert(self, value: Column, kind: T.DataType, name: str) -> Column:
         if isinstance(kind, (T.FloatType, T.DoubleType, T.StringType)):
-            value = value.cast("string").cast("decimal(38,18)")
-        elif not isinstance(kind, T.DecimalType):
+            return self._from_text(value.cast("string"), name)
+        if not isinstance(kind, T.DecimalType):
             value = value.cast("decimal(20,0)")
         cut = F.signum(value).cast("decimal(1,0)") * F.floor(F.abs(value), F.lit(self.scale))
         digits = self.precision - self.scale
         fits = F.abs(value) < F.lit("1" + "0" * digits).cast(f"decimal({digits + 1},0)") if digits < 38 else F.lit(True)
         return _check(cut, fits, f"{name}: more than {digits} integer digits").cast(self.spark)
 
+    def _from_text(self, value: Column, name: str) -> Column:
+        """The digits of a number's text, cut to the scale before any cast, so that no precision is lost on the way."""
+        most = self.precision - self.scale
+        read = F.struct(*(F.regexp_extract(value, _NUMBER, k).alias(c) for k, c in enumerate(("sign", "whole", "rest", "power"), 1)))
+
+        def plain(x: Column) -> Column:
+            digits, power = F.concat(x["whole"], x["rest"]), F.coalesce(F.nullif(x["power"], F.lit("")).cast("int"), F.lit(0))
+            point = F.length(x["whole"]) + power
+            at = F.greatest(point, F.lit(0))
+            lead = F.repeat(F.lit("0"), F.least(-F.least(point, F.lit(0)), F.lit(self.scale)))
+            fraction = F.substr(F.concat(lead, F.substr(digits, at + 1)), F.lit(1), F.lit(self.scale))
+            whole = F.ltrim(F.rpad(F.substr(digits, F.lit(1), at), at, F.lit("0")), F.lit("0"))
+            return F.struct(F.concat(x["sign"], F.lit("0"), whole, F.lit("."), fraction, F.lit("0")).alias("text"), F.length(whole).alias("size"))
+
+        def checked(x: Column) -> Column:
+            return _check(x["text"], x["size"] <= most, f"{name}: more than {most} integer digits")
+
+        made = F.transform(F.transform(F.array(read), plain), checked)[0]
+        return F.when(value.rlike(_NUMBER), made).otherwise(value).cast(self.spark)  # what is no number fails in the cast
+
     def csv(self, value: Column) -> Column:
         return text.number_text(value, "decimal")
 

@@ -174,32 +174,37 @@ class Database:
         """Write every table, then move the files of each chunk into its folder."""
         for alias, rows in made.items():
             self.tables[alias].write(place(rows), folders, self.dest.path(work, "out", alias))
+        found = {alias: self._parts(work, alias) for alias in self.tables}  # one listing a table
         for alias in self.tables:
-            if alias not in made or any(not self._parts(work, alias, n) for n in names):
+            if any(n not in found[alias] for n in names):
                 self._write_empty(alias, work)
+                found[alias] |= {"empty": self._parts(work, alias)["empty"]}
 
         def commit(name: str) -> None:
             with self.dest.transact(name) as temp:
                 for alias, table in self.tables.items():
-                    parts = self._parts(work, alias, name)
+                    parts = found[alias].get(name, [])
                     if len(parts) > 1:
                         raise RuntimeError(f"{len(parts)} files for {table.name} in {name}")
                     if parts:
                         self.dest.rename(parts[0], f"{temp}/{table.name}")
                     else:
-                        self.dest.copy(self._parts(work, alias, "empty")[0], f"{temp}/{table.name}")
+                        self.dest.copy(found[alias]["empty"][0], f"{temp}/{table.name}")
 
         with ThreadPoolExecutor(self.threads) as pool:
             list(pool.map(commit, names))
 
-    def _parts(self, work: str, alias: str, name: str) -> list[str]:
-        folder = f"{work}/out/{alias}/{CHUNK}={name}"
-        return [f"{folder}/{n}" for n in self.dest.readdir(folder) if n.startswith("part-")]
+    def _parts(self, work: str, alias: str) -> dict[str, list[str]]:
+        """Paths of the written files of a table by chunk."""
+        base = f"{work}/out/{alias}"
+        all_ = self.dest.files(base)
+        kept = {folder: [n for n in names if n.startswith("part-")] for folder, names in all_.items()}
+        return {folder.split("=", 1)[1]: [f"{base}/{folder}/{n}" for n in names] for folder, names in kept.items() if "=" in folder and names}
 
     def _write_empty(self, alias: str, work: str) -> None:
         """A file of ``alias`` without rows, for chunks in which the table has none."""
         table, folder = self.tables[alias], f"{work}/out/{alias}/{CHUNK}=empty"
-        if self._parts(work, alias, "empty"):
+        if "empty" in self._parts(work, alias):
             return
         schema = getattr(table, "schema", None)
         if schema is not None and hasattr(table, "compression"):

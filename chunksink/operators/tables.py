@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 from typing import Protocol
 
 import pyarrow as pa
@@ -172,7 +173,7 @@ class ParquetTable:
             spark.conf.set(key, before)
 
     def _write_by_column(self, rows: DataFrame, path: str) -> None:
-        """Codecs of single columns: each chunk, which is bounded, is written by the Arrow library."""
+        """Codecs of single columns: the Arrow library writes each chunk, row group by row group."""
         names, own, default, group, page, dictionary = list(self.schema), self.codecs, codec(self.compression), self.row_group_size, self.page_size, self.dictionary
         nested = {n: leaves(n, c.type) for n, c in self.schema.items()}
 
@@ -184,29 +185,31 @@ class ParquetTable:
             arrow = {"uncompressed": "none", "lz4_raw": "lz4"}
             chosen = {leaf: arrow.get(own.get(n, default), own.get(n, default)) for n in names for leaf in nested[n]}
 
-            def save(chunk: str, parts: list[pa.RecordBatch]) -> None:
-                table = pa.Table.from_batches(parts).select(names)
+            def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+                """Runs of rows of one chunk."""
+                for batch in batches:
+                    chunk = batch.column(CHUNK)
+                    ends = [i for i in range(1, batch.num_rows) if chunk[i] != chunk[i - 1]]
+                    for a, b in zip([0, *ends], [*ends, batch.num_rows], strict=True):
+                        if b > a:
+                            yield chunk[a].as_py(), batch.select(names).slice(a, b - a)
+
+            for chunk, runs in groupby(rows_of(batches), lambda x: x[0]):
                 folder = f"{base}/{CHUNK}={chunk}"
                 store.create_dir(folder)
                 with store.open_output_stream(f"{folder}/.writing") as f:
-                    width = max(1, table.nbytes // max(1, table.num_rows))
-                    pq.write_table(table, f, compression=chosen, use_dictionary=dictionary, data_page_size=page, row_group_size=max(1, group // width), coerce_timestamps="ms", allow_truncated_timestamps=True)
+                    writer, held, size = None, [], 0
+                    for _, part in runs:
+                        writer = writer or pq.ParquetWriter(f, part.schema, compression=chosen, use_dictionary=dictionary, data_page_size=page, coerce_timestamps="ms", allow_truncated_timestamps=True)
+                        held.append(part)
+                        size += part.nbytes
+                        if size >= group:  # one row group is held at a time
+                            writer.write_table(pa.Table.from_batches(held))
+                            held, size = [], 0
+                    if held:
+                        writer.write_table(pa.Table.from_batches(held))
+                    writer.close()
                 store.move(f"{folder}/.writing", f"{folder}/part-00000.parquet")
-
-            now, parts = None, []
-            for batch in batches:
-                chunk = batch.column(CHUNK)
-                start = 0
-                for i in range(batch.num_rows):
-                    if (c := chunk[i].as_py()) != now:
-                        if i > start:
-                            parts.append(batch.slice(start, i - start))
-                        if parts:
-                            save(now, parts)
-                        now, parts, start = c, [], i
-                parts.append(batch.slice(start))
-            if parts:
-                save(now, parts)
             yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32())], ["done"])
 
         in_chunks(rows).drop(ORDER).mapInArrow(run, "done int").count()

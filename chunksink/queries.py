@@ -83,6 +83,29 @@ def parquet_decimal_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("price", F.col("price").cast("double"))
 
 
+def parquet_decimal_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of more than 20 digits, cut to the scale, through Parquet."""
+    digits = F.concat(F.when(F.col("o_orderkey") % 2 == 0, "-").otherwise(""), F.lit("1"), F.col("o_orderkey").cast("string"), F.lit("12345678901234567.99999999999999999999"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", digits.alias("wide"), digits.alias("whole"), F.expr("o_orderkey div 1000 as height"))
+    schema = {"o_orderkey": Column(t.Int64()), "wide": Column(t.Decimal(38, 11)), "whole": Column(t.Decimal(38, 0))}
+    back = _through(spark, rows, ParquetTable("orders.parquet", schema), ["o_orderkey"])
+    return back.select("o_orderkey", *(F.col(c).cast("string").alias(c) for c in ("wide", "whole")))
+
+
+def csv_other_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Booleans and JSON as CSV text."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_acctbal") > 0).alias("rich"), F.struct("c_name", "c_mktsegment").alias("doc")).withColumn("_id", F.col("c_custkey"))
+    schema = {"c_custkey": Column(t.Numeric()), "rich": Column(t.Boolean()), "doc": Column(t.JSON())}
+    return CsvTable("customer.csv", schema).render(rows, ("_id",)).select(F.col("_id").alias("c_custkey"), "line")
+
+
+def parquet_json_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Booleans and JSON through Parquet, with a codec each."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal") > 0).alias("rich"), F.struct("c_name", "c_mktsegment").alias("doc"), F.expr("c_custkey div 100 as height"))
+    schema = {"c_custkey": Column(t.Int64()), "rich": Column(t.Boolean(), nullable=True), "doc": Column(t.JSON())}
+    return _through(spark, rows, ParquetTable("customer.parquet", schema, "SNAPPY"), ["c_custkey"]).select("c_custkey", "rich", "doc")
+
+
 def parquet_timestamp_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").withColumn("height", F.expr("event_id div 50"))
     back = _through(spark, rows, ParquetTable("events.parquet", {"event_id": Column(t.Int64()), "ts": Column(t.Timestamp())}), ["event_id"])
@@ -153,21 +176,21 @@ EVENT = "event_id bigint, event_type string, user_id bigint, value double, props
 
 def _json_rows(lines: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value", "props", F.expr("event_id div 50 as height"))
-        made = JsonTable("events.jsonl" if lines else "events.json", lines, read_schema=f"{EVENT}, height bigint")
-        return _through(spark, rows, made, ["event_id"], 0.02).select("event_id", "event_type", "user_id", "value", "props")
+        rows = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value", "props", "ts", F.expr("event_id div 50 as height"))
+        made = JsonTable("events.jsonl" if lines else "events.json", lines, read_schema=f"{EVENT}, ts timestamp, height bigint")
+        return _through(spark, rows, made, ["event_id"], 0.02).select("event_id", "event_type", "user_id", "value", "props", F.unix_millis("ts").alias("ms"))
 
     return run
 
 
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
-    made = rows.select("conv_id", "turn", json_text(F.struct("role", "turn")).alias("doc"))
+    made = rows.select("conv_id", "turn", json_text(F.struct("role", "turn", "text")).alias("doc"))
     return made
 
 
 def bson_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.struct("role", F.col("turn").cast("int").alias("turn")).alias("doc"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.struct("role", F.col("turn").cast("int").alias("turn"), "text").alias("doc"))
     made = conform(rows, {"conv_id": Column(t.Int64()), "turn": Column(t.Int64()), "doc": Column(t.BSON())})
     return made.select("conv_id", "turn", F.lower(F.hex("doc")).alias("doc"))
 
@@ -296,6 +319,9 @@ QUERIES: dict[str, Query] = {
     "parquet_list": parquet_list,
     "parquet_struct": parquet_struct,
     "parquet_decimal_trunc": parquet_decimal_trunc,
+    "parquet_decimal_wide": parquet_decimal_wide,
+    "csv_other_types": csv_other_types,
+    "parquet_json_boolean": parquet_json_boolean,
     "parquet_timestamp_ms": parquet_timestamp_ms,
     "parquet_unsigned": parquet_unsigned,
     "parquet_optional": parquet_optional,
@@ -358,6 +384,11 @@ def _sql_lines(delimiter: str, quote: str, escape: str, terminator: str, quoting
     return f"SELECT doc_id, {parts} AS line FROM documents"
 
 
+def _little(n: str) -> str:
+    """Hexadecimal text of a little-endian 32-bit number."""
+    return "(" + " || ".join(f"printf('%02x', (({n}) // {256**k}) % 256)" for k in range(4)) + ")"
+
+
 _FOLD = """
 WITH RECURSIVE sizes AS (
   SELECT event_id // 50 AS height, sum(8 + 8 + 8 + strlen(event_type) + 8)::BIGINT AS bytes, {forced} AS forced FROM events GROUP BY 1
@@ -374,7 +405,7 @@ fold AS (
 )
 SELECT chunk_from, chunk_to, chunk_bytes FROM fold WHERE chunk_bytes > 0"""
 
-_EVENTS = "SELECT event_id, event_type, user_id, value, props FROM events"
+_EVENTS = "SELECT event_id, event_type, user_id, value, props, epoch_us(ts) // 1000 AS ms FROM events"
 
 ORACLES: dict[str, str] = {
     "parquet_roundtrip": "SELECT * FROM lineitem",
@@ -383,6 +414,13 @@ ORACLES: dict[str, str] = {
     "parquet_struct": "SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS name, CASE WHEN c_custkey % 5 <> 0 AND c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS segment FROM customer",
     "parquet_decimal_trunc": """
 SELECT l_orderkey, l_linenumber, (CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END * floor(abs(l_extendedprice::DECIMAL(18,4)) * 10)::DECIMAL(18,1) / 10)::DOUBLE AS price FROM lineitem""",
+    "parquet_decimal_wide": """
+SELECT o_orderkey, sign || '1' || o_orderkey || '12345678901234567.99999999999' AS wide, sign || '1' || o_orderkey || '12345678901234567' AS whole
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '-' ELSE '' END AS sign FROM orders)""",
+    "csv_other_types": """
+SELECT c_custkey, c_custkey || ',' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || ',"' || replace('{"c_name":"' || c_name || '","c_mktsegment":"' || c_mktsegment || '"}', '"', '""') || '"' AS line FROM customer""",
+    "parquet_json_boolean": """
+SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal > 0 END AS rich, '{"c_name":"' || c_name || '","c_mktsegment":"' || c_mktsegment || '"}' AS doc FROM customer""",
     "parquet_timestamp_ms": "SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events",
     "parquet_unsigned": """
 SELECT p_partkey, p_size::UTINYINT::VARCHAR AS u8, (p_size * 1000)::USMALLINT::VARCHAR AS u16, (p_size * 80000000::BIGINT)::UINTEGER::VARCHAR AS u32,
@@ -403,10 +441,13 @@ SELECT d.doc_id, '"' || d.doc_id || '","' || coalesce(quality::VARCHAR, '') || '
     "csv_numbers": "SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, l_quantity::BIGINT::VARCHAR AS quantity FROM lineitem",
     "jsonl_rows": _EVENTS,
     "json_array": _EVENTS,
-    "json_documents": """SELECT conv_id, turn, '{"role":"' || role || '","turn":' || turn || '}' AS doc FROM conversations""",
-    "bson_documents": """
-SELECT conv_id, turn, lower(printf('%02x', 26 + strlen(role)) || '000000' || '02' || hex('role') || '00' || printf('%02x', strlen(role) + 1) || '000000' || hex(role) || '00' || '10' || hex('turn') || '00' || printf('%02x', turn) || '000000' || '00') AS doc
-FROM conversations""",
+    "json_documents": """SELECT conv_id, turn, '{"role":"' || role || '","turn":' || turn || coalesce(',"text":' || to_json(text)::VARCHAR, '') || '}' AS doc FROM conversations""",
+    "bson_documents": f"""
+WITH parts AS (
+  SELECT conv_id, turn, '02' || hex('role') || '00' || {_little('strlen(role) + 1')} || hex(role) || '00' || '10' || hex('turn') || '00' || {_little('turn')}
+         || CASE WHEN text IS NULL THEN '0A' || hex('text') || '00' ELSE '02' || hex('text') || '00' || {_little('strlen(text) + 1')} || hex(text) || '00' END || '00' AS body
+  FROM conversations
+) SELECT conv_id, turn, lower({_little('length(body) // 2 + 4')} || body) AS doc FROM parts""",
     "size_csv": "SELECT c_custkey // 100 AS height, sum(strlen(c_custkey::VARCHAR) + 1 + strlen(c_name) + 1 + strlen(c_mktsegment) + 2)::BIGINT AS bytes FROM customer GROUP BY 1",
     "size_json": """
 SELECT c_custkey // 100 AS height, sum(length('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_mktsegment":"' || c_mktsegment || '"}'))::BIGINT AS bytes FROM customer GROUP BY 1""",

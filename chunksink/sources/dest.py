@@ -14,6 +14,10 @@ from pyspark.sql import SparkSession
 TEMP = "-temp-"
 
 
+#: Schemes of stores in which a rename copies.
+OBJECT_STORES = ("s3a", "s3", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "cosn", "obs")
+
+
 class Dest:
     """A root folder with small driver-side file operations; relative paths are below the root."""
 
@@ -23,6 +27,7 @@ class Dest:
         self._path_of = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path_of(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         self._jvm = jvm
+        self.copies = (urlparse(self.root).scheme or "file") in OBJECT_STORES
 
     def path(self, *parts: str) -> str:
         joined = posixpath.normpath(posixpath.join("/", *parts)).lstrip("/")
@@ -57,6 +62,16 @@ class Dest:
         at = self._at(path)
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
+    def files(self, path: str = "") -> dict[str, list[str]]:
+        """Names of all files below ``path`` by their folder, from one recursive listing."""
+        at, out = self._at(path), {}
+        if self._fs.exists(at):
+            found = self._fs.listFiles(at, True)
+            while found.hasNext():
+                whole = found.next().getPath()
+                out.setdefault(whole.getParent().getName(), []).append(whole.getName())
+        return out
+
     def mkdir(self, path: str) -> None:
         self._fs.mkdirs(self._at(path))
 
@@ -74,7 +89,19 @@ class Dest:
 
     @contextmanager
     def transact(self, folder: str) -> Iterator[str]:
-        """A sibling folder that replaces ``folder`` when the block ends well, and goes when it fails."""
+        """A sibling folder that replaces ``folder`` when the block ends well, and goes when it fails.
+
+        In an object store, which renames by copying, it is ``folder`` itself: nothing
+        reads a chunk before the state is past it, and recovery removes what a crash left.
+        """
+        if self.copies:
+            self.rm(folder)
+            try:
+                yield folder
+            except BaseException:
+                self.rm(folder)
+                raise
+            return
         temp = f"{folder.rstrip('/')}{TEMP}{time.time_ns() // 1_000_000}"
         self.mkdir(temp)
         try:

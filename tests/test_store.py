@@ -10,7 +10,7 @@ from chunksink.functions import types as t
 from chunksink.operators.database import Database
 from chunksink.operators.tables import Column, CsvTable, JsonTable, ParquetTable
 from chunksink.sources.dataset import committed, read_chunks
-from chunksink.sources.dest import create_dest, s3_settings
+from chunksink.sources.dest import Dest, create_dest, s3_settings
 from chunksink.streaming.state import Head, JsonState
 
 SCHEMA = {"id": Column(t.Int64()), "name": Column(t.String(), nullable=True)}
@@ -229,3 +229,42 @@ def test_column_codecs(spark, tmp_path):
     meta = pq.ParquetFile(tmp_path / "0000000001-0000000002" / "rows.parquet").metadata.row_group(0)
     assert [meta.column(i).compression for i in range(3)] == ["GZIP", "ZSTD", "UNCOMPRESSED"]
     assert ids(db) == list(range(6))
+
+
+class Counting(Dest):
+    """Counts the calls that a store would be asked."""
+
+    def __init__(self, spark, root):
+        super().__init__(spark, root)
+        self.calls = {"readdir": 0, "files": 0, "rename": 0}
+
+    def readdir(self, path=""):
+        self.calls["readdir"] += 1
+        return super().readdir(path)
+
+    def files(self, path=""):
+        self.calls["files"] += 1
+        return super().files(path)
+
+    def rename(self, source, target):
+        self.calls["rename"] += 1
+        return super().rename(source, target)
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_listings_do_not_grow_with_the_chunks(spark, tmp_path, copies):
+    seen = []
+    for n in (3, 12):
+        dest = Counting(spark, f"file://{tmp_path}/{copies}-{n}")
+        dest.copies = copies
+        made = {a: ParquetTable(f"{a}.parquet", {"height": Column(t.Int64())}) for a in ("one", "two")}
+        db = Database(dest, made)
+        db.connect()
+        rows = spark.range(n).select(F.col("id").alias("height"))
+        dest.calls = dict.fromkeys(dest.calls, 0)
+        db.run_batches(rows, {"one": lambda d: d, "two": lambda d: d.where("height > 0")}, forced=rows.withColumn("forced", F.lit(True)))
+        assert sorted(r.height for r in read_chunks(db.dest, made["one"]).collect()) == list(range(n))
+        assert sorted(r.height for r in read_chunks(db.dest, made["two"]).collect()) == list(range(1, n))
+        seen.append(dict(dest.calls))
+    assert seen[0]["files"] == seen[1]["files"]
+    assert seen[1]["rename"] - seen[0]["rename"] == 9 * (2 if copies else 3)  # a file moves once; only a true rename swaps folders too

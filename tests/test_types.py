@@ -97,3 +97,21 @@ def test_words(spark):
     df = spark.createDataFrame([("0x" + f"{7:064x}" + f"{big:064x}" + f"{1 << 200:064x}",)], "d string")
     got = df.select(*(words.as_unsigned(words.word(F.col("d"), k)) for k in range(3))).first()
     assert (got[0], got[1], got[2]) == (7, big, None)
+
+
+def test_decimals_from_text_are_cut_exactly(spark):
+    cases = [
+        ("1.9999999999999999999", 38, 0, "1"), ("0.12345678901234567899", 38, 20, "0.12345678901234567899"), ("-0.99", 5, 1, "-0.9"), ("123456789012345678901234567890", 38, 2, "123456789012345678901234567890.00"),
+        ("1.5E3", 10, 2, "1500.00"), ("12345e-3", 10, 2, "12.34"), ("-1e-30", 38, 31, "-0.0000000000000000000000000000010"), ("1e-40", 10, 2, "0.00"), (".5", 3, 1, "0.5"), ("7.", 3, 1, "7.0"), ("+0007", 2, 0, "7"),
+    ]
+    for value, precision, scale, want in cases:
+        df = spark.createDataFrame([(value,), (None,)], "v string")
+        made = df.select(t.Decimal(precision, scale).convert(F.col("v"), df.schema["v"].dataType, "v").alias("d"))
+        assert [None if r.d is None else f"{r.d:f}" for r in made.collect()] == [want, None], value
+    doubles = spark.createDataFrame([(1e20, "100000000000000000000"), (123456.789, "123456"), (-2.5e-5, "0")], "v double, want string")
+    made = doubles.select("want", t.Decimal(38, 0).convert(F.col("v"), doubles.schema["v"].dataType, "v").alias("d"))
+    assert all(f"{r.d:f}" in (r.want, f"-{r.want}") for r in made.collect())
+    for bad in ("1000", "1e9", "abc", ""):
+        df = spark.createDataFrame([(bad,)], "v string")
+        with pytest.raises(Exception):  # noqa: B017
+            df.select(t.Decimal(3, 0).convert(F.col("v"), df.schema["v"].dataType, "v")).collect()
