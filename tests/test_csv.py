@@ -20,13 +20,13 @@ def written(spark, schema, rows, ddl, dialect=EXCEL, header=False):
     return "".join(x + dialect.terminator for x in head + lines)
 
 
-TWO = ({"column1": S, "column2": S}, [("value1", "value2")], "column1 string, column2 string")
-FOUR = {f"column{i}": S for i in range(1, 5)}
-FOUR_DDL = ", ".join(f"column{i} string" for i in range(1, 5))
-THREE = ({"column1": S, "column2": S, "column3": N}, [("aaa", "bb,b", 1000)], "column1 string, column2 string, column3 int")
+TWO = ({"year": S, "place": S}, [("1984", "Riga")], "year string, place string")
+FOUR = {f"tree{i}": S for i in range(4)}
+FOUR_DDL = ", ".join(f"tree{i} string" for i in range(4))
+THREE = ({"tree": S, "note": S, "height": N}, [("oak", "el,m", 12)], "tree string, note string, height int")
 
 
-@pytest.mark.parametrize(("header", "want"), [(True, "column1,column2\r\nvalue1,value2\r\n"), (False, "value1,value2\r\n")])
+@pytest.mark.parametrize(("header", "want"), [(True, "year,place\r\n1984,Riga\r\n"), (False, "1984,Riga\r\n")])
 def test_header(spark, header, want):
     assert written(spark, *TWO, header=header) == want
 
@@ -34,9 +34,9 @@ def test_header(spark, header, want):
 @pytest.mark.parametrize(
     ("dialect", "row", "want"),
     [
-        (EXCEL, ("aaa", "bb,b", 'c"c"c', "dd\r\nd"), 'aaa,"bb,b","c""c""c","dd\r\nd"\r\n'),
-        (EXCEL_TAB, ("aaa", "bb\tb", 'c"c"c', "dd,d"), 'aaa\t"bb\tb"\t"c""c""c"\tdd,d\r\n'),
-        (Dialect("-", "'", Quote.MINIMAL, ";", "^"), ("aaa", "bb-b", "c'c'c", "dd,d"), "aaa-'bb-b'-'c^'c^'c'-dd,d;"),
+        (EXCEL, ("oak", "el,m", 'a"sh', "fir\r\npine"), 'oak,"el,m","a""sh","fir\r\npine"\r\n'),
+        (EXCEL_TAB, ("oak", "el\tm", 'a"s"h', "fir,pine"), 'oak\t"el\tm"\t"a""s""h"\tfir,pine\r\n'),
+        (Dialect("-", "'", Quote.MINIMAL, ";", "^"), ("oak", "el-m", "a's'h", "fir,pine"), "oak-'el-m'-'a^'s^'h'-fir,pine;"),
         (EXCEL, ("a\nb", "c\rd", "(x)", "\\"), '"a\nb","c\rd",(x),\\\r\n'),
         (Dialect(strict_terminator=True), ("a\nb", "c\rd", "é", ""), "a\nb,c\rd,é,\r\n"),
         (Dialect("-", '"', Quote.NONE, "\n", "\\"), ("a-b", "c\\d", "(e)", "f\ng"), "a\\-b-c\\\\d-(e)-f\\\ng\n"),
@@ -49,7 +49,7 @@ def test_dialects(spark, dialect, row, want):
 
 @pytest.mark.parametrize(
     ("quoting", "want"),
-    [(Quote.NONE, 'aaa,bb",b,1000\r\n'), (Quote.MINIMAL, 'aaa,"bb,b",1000\r\n'), (Quote.NONNUMERIC, '"aaa","bb,b",1000\r\n'), (Quote.ALL, '"aaa","bb,b","1000"\r\n')],
+    [(Quote.NONE, 'oak,el",m,12\r\n'), (Quote.MINIMAL, 'oak,"el,m",12\r\n'), (Quote.NONNUMERIC, '"oak","el,m",12\r\n'), (Quote.ALL, '"oak","el,m","12"\r\n')],
 )
 def test_quoting(spark, quoting, want):
     assert written(spark, *THREE, Dialect(quoting=quoting)) == want
