@@ -15,10 +15,14 @@ words. Every step aggregates by key before it joins, so a hot line or variant is
 no group that a task has to hold. The sides of the joins grow with the corpus, so
 they shuffle at every size.
 
-Two edits or more: k edits touch at most k * ``GRAM`` of a line's ranges of
-``GRAM`` words, so the lines meet at one of the first k * ``GRAM`` + 1 in a common
-order (``prefixes``). A line is held against the earliest of each meeting first,
-and only if none of these is near against all other earlier lines it meets.
+Lines of ``FAR_WORDS`` words or more may have k = 2 edits and up. Their whole
+neighbourhood is too large to emit (k of n words); its members that matter are
+those in which all but a run of words is deleted: k edits leave a run of
+(n - k) / (k + 1) words untouched. From every run a line emits the least hash of its
+ranges of ``GRAM`` words, so lines within the bound meet at one. A line is held
+against the earliest of each meeting first, and only if none of these is near
+against the other earlier lines it meets. Pairs whose lengths, or counts of words
+modulo two, differ by more than the edits can explain are dropped unread.
 
 Null and empty texts have no lines. Rows with a null id stay as they are and
 are no source. Rows that share an id lose the same line numbers as the first
@@ -36,15 +40,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunksink.llm.arrow import map_batches
-from chunksink.llm import prefixes, sequences
+from chunksink.llm import sequences
 from chunksink.llm.bpe import slices, with_column
-from chunksink.llm.scratch import cut
+from chunksink.llm.meetings import PACKED, hot, is_hot, meet, pack
+from chunksink.llm.scratch import cut, hot_keys, small, split_join, temporary, unused
 
 MIN_WORDS = 8
 WORDS_PER_EDIT = 10
 GRAM = 4
+#: Words from which a line may have two edits.
+FAR_WORDS = 2 * WORDS_PER_EDIT
 SLICE_BYTES = 1 << 20
-LINE = "c1 long, c2 long, n int, doc_id long, line int, pre long, suf long, pre2 long, suf2 long"
+PACK_KEYS = 1 << 19
+_TOP = np.uint64(1 << 63)
+LINE = "c1 long, c2 long, n int, doc_id long, line int, pre long, suf long, pre2 long, suf2 long, p0 long, p1 long, p2 long, p3 long"
+PARITY = ["p0", "p1", "p2", "p3"]
 
 
 def _lines(parts: list[bytes]) -> tuple[sequences.Texts, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -62,10 +72,67 @@ def _lines(parts: list[bytes]) -> tuple[sequences.Texts, np.ndarray, np.ndarray,
     return t, text[a], line[a] - np.searchsorted(breaks, offsets)[text[a]], a, b
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """One row a distinct line of each document, at its first place: content hashes, words, place, hashes of halves."""
+def run_of(n: np.ndarray) -> np.ndarray:
+    """Words in a row, at least, that edits leave untouched between a line of ``n`` words and a shorter one within the bound."""
+    k = np.maximum(n - n // WORDS_PER_EDIT, FAR_WORDS) // WORDS_PER_EDIT
+    return -(-((WORDS_PER_EDIT - 1) * k) // (k + 1))
+
+
+def far_keys(t: sequences.Texts, a: np.ndarray, b: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of lines of ``FAR_WORDS`` words or more: in every run of ``run_of`` words, the least hash of its ranges of ``GRAM`` words.
+
+    Two lines with a run in common have its key in common, also if the shorter looks
+    at shorter runs. Ranges that are hot come last in the order.
+    """
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    long = np.flatnonzero(b - a >= FAR_WORDS)
+    if not len(long):
+        return none
+    least = sequences.Rolling(t.symbols).each(GRAM)
+    least = np.where(is_hot(least, known), least | _TOP, least & ~_TOP)
+    width = run_of(b[long] - a[long]) - GRAM + 1
+    lines, keys = [], []
+    for w in range(1, WORDS_PER_EDIT - GRAM + 1):
+        own = long[width == w]
+        if len(own):
+            count = b[own] - a[own] - GRAM + 1 - w + 1
+            of = np.repeat(own, count)
+            at = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + a[of]
+            key = least[at]
+            new = np.append(True, (key[1:] != key[:-1]) | (of[1:] != of[:-1]))
+            lines.append(of[new])
+            keys.append(sequences.mix(key[new]))
+        least = np.minimum(least[:-1], least[1:])
+    return np.concatenate(lines), np.concatenate(keys)
+
+
+def parities(t: sequences.Texts, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each line the counts modulo two of its words by 256 values of their hash; an edit changes two of these at most."""
+    n = b - a
+    of = np.repeat(np.arange(len(a)), n)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n - a, n)
+    cell = of * 256 + (t.symbols[at] >> np.uint64(16) & np.uint64(255)).astype(np.int64)
+    odd = np.bincount(cell, minlength=256 * len(a)).reshape(-1, 256) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
+def line_rows(docs: DataFrame, far: bool = False) -> DataFrame:
+    """One row a distinct line of each document, at its first place: content hashes, words, place, hashes of halves.
+
+    With ``far`` also packed keys of the longer lines, in rows of their own, which have a bucket.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(hot(docs, _grams) if far else None)
+    names = ["c1", "c2", "n", "doc_id", "line", "pre", "suf", "pre2", "suf2", *PARITY]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def packed() -> pa.RecordBatch:
+            out = pack(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+            return pa.RecordBatch.from_arrays([*(pa.nulls(out.num_rows, f.type) for f in kinds), *out.columns], [*names, "bucket", "cells"])
+
+        kinds = pa.schema([pa.field(c, pa.int32() if c in ("n", "line") else pa.int64()) for c in names])
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -79,15 +146,40 @@ def line_rows(docs: DataFrame) -> DataFrame:
                 c1, c2, n, a, b, text, line = (x[k] for x in (c1, c2, n, a, b, text, line))
                 h, g = n // 2, (n - 1) // 2
                 halves = (one.of(a, a + h), one.of(b - h, b), one.of(a, a + g), one.of(b - g, b))
-                columns = (c1.view(np.int64), c2.view(np.int64), n.astype(np.int32), ids[text], line.astype(np.int32), *(x.view(np.int64) for x in halves))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["c1", "c2", "n", "doc_id", "line", "pre", "suf", "pre2", "suf2"])
-
-    return map_batches(docs, run, LINE)
+                plain = (c1.view(np.int64), c2.view(np.int64), n.astype(np.int32), ids[text], line.astype(np.int32))
+                none = (n > FAR_WORDS, n < FAR_WORDS) if far else (np.zeros(len(n), bool), np.ones(len(n), bool))  # halves and parities that nobody asks for
+                columns = [*map(pa.array, plain), *(pa.array(x.view(np.int64), mask=none[0]) for x in halves), *(pa.array(x, mask=none[1]) for x in parities(t, a, b).T)]
+                out = pa.RecordBatch.from_arrays(columns, names)
+                if not far:
+                    yield out
+                    continue
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], [*names, "bucket", "cells"])
+                _, one_each = np.unique(c1, return_index=True)  # copies that stand close together go out once
+                of, key = far_keys(t, a[one_each], b[one_each], held.value)
+                of = one_each[of]
+                waiting.append((key, c1.view(np.int64)[of], n[of]))
+                size += len(key)
+                if size >= PACK_KEYS:
+                    yield packed()
+                    waiting, size = [], 0
+        if size:
+            yield packed()
+
+    return map_batches(docs, run, f"{LINE}, {PACKED}" if far else LINE)
+
+
+def _grams(whole: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """Distinct ranges of ``GRAM`` words of each slice; hot ones stand in many."""
+    for batch in slices(whole, "text", SLICE_BYTES):
+        for part in batch.column("text").to_pylist():
+            t = sequences.word_texts([(part or "").encode("utf-8")])
+            if len(t.symbols) >= GRAM:
+                yield np.unique(sequences.Rolling(t.symbols).each(GRAM))
 
 
 def distinct_lines(rows: DataFrame) -> DataFrame:
     """Each distinct line with its earliest place."""
-    return rows.groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("doc_id"), F.min_by("line", "doc_id").alias("line"))
+    return rows.groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("doc_id"), F.min_by("line", "doc_id").alias("line"), F.count("*").alias("places"), *(F.min(p).alias(p) for p in PARITY))
 
 
 def half_sharers(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -100,10 +192,10 @@ def half_sharers(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return each.join(shared, "key").groupBy("c1").agg(F.max(F.col("tail") == 0).alias("head"), F.max(F.col("tail") == 1).alias("tail"))
 
 
-def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c1, c2, doc_id, line, head, tail, words): the words of the wanted lines at their places."""
+def line_texts(docs: DataFrame, wanted: DataFrame, few: bool = False) -> DataFrame:
+    """(c1, c2, doc_id, line, head, tail, words): the words of the wanted lines at their places; ``few`` lists are broadcast if their count is small."""
     lists = cut(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "c1", "c2", "head", "tail")).alias("parts")), "lines")
-    both = docs.join(lists.hint("shuffle_hash"), "doc_id")
+    both = docs.join(small(lists, lists="parts") if few else lists.hint("shuffle_hash"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -214,38 +306,56 @@ def verified(met: DataFrame, lines: DataFrame, min_words: int, grows: bool = Fal
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 a, b = x.split(), y.split()
                 n = min(len(a), len(b))
-                ok.append(n >= min_words and within_edits(a, b, edits_allowed(n) if grows else 1))
+                most = edits_allowed(n) if grows else 1
+                ok.append(n >= min_words and len(set(a).symmetric_difference(b)) <= 2 * most and within_edits(a, b, most))  # an edit changes two words at most
             yield batch.select(["c1", "c2"]).filter(pa.array(ok))
 
     return map_batches(both.select("c1", "c2", "x", "y"), run, "c1 long, c2 long").distinct()
 
 
-def gram_sharers(docs: DataFrame, min_words: int) -> DataFrame:
-    """(key, c1): contents of lines long enough for two edits that meet others."""
+def _close(less: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Whether lines of these numbers of words may be within the bound."""
+    return more - less <= np.maximum(1, less // WORDS_PER_EDIT)
+
 
-    def units(whole: pa.RecordBatch) -> Iterator[prefixes.Cells]:
-        for batch in slices(whole, "text", SLICE_BYTES):
-            t, _, _, a, b = _lines([(x or "").encode("utf-8") for x in batch.column("text").to_pylist()])
-            long = b - a >= max(min_words, 2 * WORDS_PER_EDIT)
-            a, b = a[long], b[long]
-            yield t, sequences.Rolling(t.symbols).of(a, b).view(np.int64), a, b
+def far_pairs(met: DataFrame) -> DataFrame:
+    """(c1, c2, w1, w2): of lines and others, ``w``, that they meet, those that are earlier and that lengths and parities do not keep apart."""
+    bound = F.floor(F.least("n", "w.n") / WORDS_PER_EDIT)
+    differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"w.{p}"))) for p in PARITY), F.lit(0))
+    earlier = (F.col("w.doc_id") < F.col("doc_id")) | ((F.col("w.doc_id") == F.col("doc_id")) & (F.col("w.line") < F.col("line")))
+    both = met.where(earlier & (F.abs(F.col("n") - F.col("w.n")) <= bound) & (differ <= 2 * bound))
+    return both.select("c1", "c2", F.col("w.c1").alias("w1"), F.col("w.c2").alias("w2")).distinct()
 
-    return prefixes.sharers(docs, units, GRAM, lambda _, words: GRAM * (words // WORDS_PER_EDIT) + 1, repeats=True).withColumnRenamed("id", "c1")
 
+def named(pairs: DataFrame) -> DataFrame:
+    """(c1, c2) of all lines of the pairs."""
+    return pairs.select("c1", "c2").union(pairs.select("w1", "w2")).distinct()
 
-def far_edited(members: DataFrame, settled: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
-    """(c1, c2) of the members within the bound of an earlier one, but for the settled ones."""
-    whole = F.struct("doc_id", "line", "c1", "c2", "n")
-    near = F.abs(F.col("n") - F.col("w.n")) <= F.floor(F.least("n", "w.n") / WORDS_PER_EDIT)
-    earlier = (F.col("w.doc_id") < F.col("doc_id")) | ((F.col("w.doc_id") == F.col("doc_id")) & (F.col("w.line") < F.col("line")))
-    pair = ["c1", "c2", F.col("w.c1").alias("w1"), F.col("w.c2").alias("w2")]
+
+def edited_lines(docs: DataFrame, rows: DataFrame, lines: DataFrame, packed: DataFrame | None, min_words: int) -> DataFrame:
+    """(c1, c2) of the lines within the bound of an earlier one; ``packed`` are the keys of the longer lines."""
+    far = packed is not None
+    some = F.col("n").between(min_words, FAR_WORDS) if far else F.col("n") >= min_words  # longer lines meet by runs
+    near = lines.where(some).join(half_sharers(rows.where(some), min_words), "c1")
+    place = ["c1", "c2", "doc_id", "line"]
+    if not far:
+        texts = cut(line_texts(docs, near), "lines")
+        return verified(meetings(variants(texts)), texts, min_words)
+    whole = F.struct("doc_id", "line", "c1", "c2", "n", *PARITY).alias("w")
+    met = meet(packed, _close).withColumnRenamed("id", "c1")
+    members = cut(met.join(lines.where(F.col("n") >= min_words), "c1"), "lines")
+    first = cut(members.groupBy("key").agg(F.min(whole).alias("w"), F.count("*").alias("met")), "lines")
+    tried = cut(far_pairs(split_join(members, first.drop("met"), ["key"], hot_keys(first, ["key"], "met"), ["c1"])), "lines")
+    plain = [*place, F.lit(False).alias("head"), F.lit(False).alias("tail")]
+    wanted = near.select(*place, "head", "tail").union(lines.join(named(tried), ["c1", "c2"], "left_semi").select(*plain))
+    texts = cut(line_texts(docs, wanted.groupBy(place).agg(F.max("head").alias("head"), F.max("tail").alias("tail"))), "lines")
+    near = verified(meetings(variants(texts.where("head or tail"))), texts, min_words).union(verified(tried, texts, min_words, True))
+    settled = cut(near.distinct(), "lines")
     left = members.join(settled, ["c1", "c2"], "left_anti")
-    first = members.groupBy("key").agg(F.min(whole).alias("w"))
-    tried = cut(left.join(first, "key").where(earlier & near).select(*pair).distinct(), "lines")
-    found = cut(verified(tried, texts, min_words, True), "lines")
-    left = left.join(found, ["c1", "c2"], "left_anti")
-    rest = left.join(members.select("key", whole.alias("w")), "key").where(earlier & near).select(*pair).distinct()
-    return found.union(verified(rest.join(tried, ["c1", "c2", "w1", "w2"], "left_anti"), texts, min_words, True))
+    rest = cut(far_pairs(left.join(members.select("key", whole), "key")).join(tried, ["c1", "c2", "w1", "w2"], "left_anti"), "lines")
+    missing = cut(lines.join(named(rest), ["c1", "c2"], "left_semi").join(texts.select("c1", "c2"), ["c1", "c2"], "left_anti").select(*plain), "lines")
+    texts = texts.union(cut(line_texts(docs, missing, few=True), "lines"))
+    return settled.union(verified(rest, texts, min_words, True))
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int | None = None) -> DataFrame:
@@ -255,33 +365,35 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int |
     """
     if max_edits not in (None, 0, 1):
         raise ValueError("max_edits must be None, 0 or 1")
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    rows = cut(line_rows(docs), "lines")
+    with temporary(docs.sparkSession):
+        return _repeated_lines(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text"), min_words, max_edits)
+
+
+def _repeated_lines(docs: DataFrame, min_words: int, max_edits: int | None) -> DataFrame:
+    far = max_edits is None
+    written = cut(line_rows(docs, far), "lines")
+    rows = written.where("bucket is null").drop("bucket", "cells") if far else written
     lines = cut(distinct_lines(rows), "lines")
     first = lines.select("c1", "c2", F.col("doc_id").alias("least"))
     if max_edits != 0:
-        near = lines.where(F.col("n") >= min_words).join(half_sharers(rows, min_words), "c1")
-        if max_edits is None:
-            members = cut(gram_sharers(docs, min_words).join(lines, "c1"), "lines")
-            far = members.select(*lines.columns, F.lit(False).alias("head"), F.lit(False).alias("tail"))
-            near = near.select(far.columns).union(far.distinct()).groupBy(lines.columns).agg(F.max("head").alias("head"), F.max("tail").alias("tail"))
-        texts = cut(line_texts(docs, near), "lines")
-        edited = cut(verified(meetings(variants(texts.where("head or tail"))), texts, min_words), "lines")
-        if max_edits is None:
-            edited = cut(edited.union(far_edited(members, edited, texts, min_words)).distinct(), "lines")
+        edited = cut(edited_lines(docs, rows, lines, written.where("bucket is not null") if far else None, min_words).distinct(), "lines")
         first = first.join(edited.withColumn("edited", F.lit(True)).hint("shuffle_hash"), ["c1", "c2"], "left")
     else:
         first = first.withColumn("edited", F.lit(None).cast("boolean"))
-    met = rows.select("c1", "c2", "doc_id").join(first, ["c1", "c2"]).where(F.col("edited") | (F.col("doc_id") > F.col("least")))
-    return cut(met.groupBy("doc_id").agg(F.collect_list("c1").alias("gone")), "lines")
+    met = split_join(rows.select("c1", "c2", "doc_id"), first, ["c1", "c2"], hot_keys(lines, ["c1", "c2"], "places"), ["doc_id"]).where(F.col("edited") | (F.col("doc_id") > F.col("least")))
+    return cut(met.groupBy("doc_id").agg(F.collect_list("c1").alias("gone")), "lines", keep=True)
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int | None = None) -> DataFrame:
-    """``docs`` with repeated lines cut from ``text``, and ``n_lines`` and ``n_removed`` (lines with a word)."""
+def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int | None = None, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
+    """``docs`` with repeated lines cut from ``text``, and two counts of lines with a word: ``n_lines`` and ``n_removed``.
+
+    The counts replace columns of their names; every other column passes through.
+    """
     gone = repeated_lines(docs, min_words, max_edits)
-    both = docs.drop("gone", "n_lines", "n_removed").join(gone.hint("shuffle_hash"), "doc_id", "left")
-    fields = [f for f in both.schema.fields if f.name != "gone"]
-    schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    (own,) = unused(docs, "gone")
+    both = docs.drop(n_lines, n_removed).join(gone.withColumnRenamed("gone", own).hint("shuffle_hash"), "doc_id", "left")
+    fields = [f for f in both.schema.fields if f.name != own]
+    schema = T.StructType([*fields, T.StructField(n_lines, T.LongType()), T.StructField(n_removed, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -291,7 +403,7 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits:
                 parts = [(x or "").encode("utf-8") for x in texts]
                 t, text, line, a, b = _lines(parts)
                 c1 = sequences.Rolling(t.symbols).of(a, b).view(np.int64)
-                cells = batch.column("gone")
+                cells = batch.column(own)
                 size = cells.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 listed = np.repeat(np.arange(len(texts)), size)
                 table = np.unique(np.rec.fromarrays([listed, cells.flatten().to_numpy()], names="t,c"))
@@ -309,6 +421,6 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits:
                     new[k] = "\n".join(x for i, x in enumerate(texts[k].split("\n")) if i not in out)
                 count = lambda who: np.bincount(who, minlength=len(texts)).astype(np.int64)
                 out = pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if f.name == "text" else batch.column(f.name) for f in fields], [f.name for f in fields])
-                yield with_column(with_column(out, "n_lines", pa.array(count(text))), "n_removed", pa.array(count(text[drop])))
+                yield with_column(with_column(out, n_lines, pa.array(count(text))), n_removed, pa.array(count(text[drop])))
 
     return map_batches(both, run, schema)

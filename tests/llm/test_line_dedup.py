@@ -100,3 +100,11 @@ def test_bound_grows_with_the_line(spark, vocabulary):
     assert any(all(distance(rows[d][1].split(), s.split()) > 1 for _, s in rows[:d]) for d in want)
     out = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert {x.doc_id for x in out.collect() if x.n_removed} == want
+
+
+def test_clashing_names(spark):
+    rows = [(1, "a b\nx", "g", 5, 6), (2, "a b\ny", "h", 7, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, gone string, n_lines int, n_removed int")
+    out = line_dedup.drop_repeated_lines(df, n_lines="all", n_removed="cut")
+    assert {tuple(r) for r in out.select(*df.columns, "all", "cut").collect()} == {(1, "a b\nx", "g", 5, 6, 2, 0), (2, "y", "h", 7, 8, 2, 1)}
+    assert {(r.doc_id, r.n_lines, r.n_removed, r.gone) for r in line_dedup.drop_repeated_lines(df).collect()} == {(1, 2, 0, "g"), (2, 2, 1, "h")}
