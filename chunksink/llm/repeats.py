@@ -11,8 +11,8 @@ and only texts that differ around a shared anchor are indexed, shard by shard:
 * ``anywhere`` (bytes): a difference-cover suffix sort of the shard; a window
   counts if an adjacent suffix has the same prefix.
 
-An anchor with more than ``hot`` places is not indexed in one task: its windows
-are hashed singly (128 bits) and counted, an exact way with no group to hold.
+An anchor with more than ``hot`` different segments is not indexed in one task: its
+windows are hashed singly (128 bits) and counted, an exact way with no group to hold.
 
 Null and empty texts have no windows. Rows with a null id stay as they are and
 are no source of repeats. Rows that share an id share the removed spans.
@@ -32,7 +32,7 @@ from chunksink.llm.arrow import map_batches
 from chunksink.llm import sequences
 from chunksink.llm.bpe import slices, with_column
 from chunksink.llm.fm_index import FMIndex
-from chunksink.llm.scratch import cut
+from chunksink.llm.scratch import cut, hot_keys, small, split_join, temporary, unused
 from chunksink.llm.suffix_sort import repeated_starts
 
 SLICE_BYTES = 1 << 20
@@ -61,25 +61,34 @@ def segment_rows(docs: DataFrame, unit: str, length: int, gram: int) -> DataFram
 
 def repeated_spans(docs: DataFrame, unit: str, length: int, gram: int, earlier: bool, hot: int = HOT) -> DataFrame:
     """(doc_id, spans): for each document with any, its spans of repeated symbols, merged and in order."""
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    with temporary(docs.sparkSession):
+        docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+        return cut(_repeated_spans(docs, unit, length, gram, earlier, hot), "spans", keep=True)
+
+
+def _repeated_spans(docs: DataFrame, unit: str, length: int, gram: int, earlier: bool, hot: int) -> DataFrame:
     rows = cut(segment_rows(docs, unit, length, gram), "segments")
     stats = rows.groupBy("anchor").agg(
         (F.min("content") != F.max("content")).alias("differ"), (F.min("doc_id") != F.max("doc_id")).alias("several"), F.count("*").alias("places"), F.max("inner").alias("inner")
     )
     shared = F.col("several") if earlier else (F.col("places") > 1) | F.col("inner")
     mixed = F.col("differ") if earlier else F.col("differ") | F.col("inner")
-    stats = stats.where(shared).select("anchor", mixed.alias("mixed"), "places")
-    met = cut(rows.drop("inner").join(stats, "anchor"), "segments")
-    same = met.groupBy("anchor", "content").agg(F.min("doc_id").alias("least"), (F.count("*") > 1).alias("twice"))
-    met = met.join(same, ["anchor", "content"])
-    repeated = F.col("doc_id") > F.col("least") if earlier else F.col("twice")
+    stats = cut(stats.where(shared).select("anchor", mixed.alias("mixed"), "places"), "segments")
+    met = cut(split_join(rows.drop("inner"), stats.drop("places"), ["anchor"], hot_keys(stats, ["anchor"], "places"), ["doc_id", "s"]), "segments")
+    both = ["anchor", "content"]
+    same = cut(met.groupBy(both).agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.max("mixed").alias("mixed")), "segments")
+    met = split_join(met.drop("mixed"), same, both, hot_keys(same, both, "n"), ["doc_id", "s"])
+    repeated = F.col("doc_id") > F.col("least") if earlier else F.col("n") > 1
     found = met.where(repeated).select("doc_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
-    wanted = met.where(F.col("mixed") & (F.col("doc_id") == F.col("least")))
-    bodies = _bodies(docs, wanted.where(F.col("places") <= hot), unit)
-    shards = bodies.repartition("anchor").sortWithinPartitions("anchor")
+    wanted = met.where(F.col("mixed") & (F.col("doc_id") == F.col("least"))).withColumn("twice", F.col("n") > 1)
+    many = cut(same.where("mixed").groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "segments")
+    if many.isEmpty():
+        cold = wanted
+    else:
+        cold = wanted.join(small(many), "anchor", "left_anti")
+        found = found.union(_hot(_bodies(docs, wanted.join(small(many), "anchor", "left_semi"), unit), unit, length, earlier))
+    shards = _bodies(docs, cold, unit).repartition("anchor").sortWithinPartitions("anchor")
     found = found.union(map_batches(shards, _index(unit, length, earlier), SPAN))
-    if not met.where(F.col("mixed") & (F.col("places") > hot)).isEmpty():
-        found = found.union(_hot(_bodies(docs, wanted.where(F.col("places") > hot), unit), unit, length, earlier))
     return _merged(found)
 
 
@@ -194,8 +203,8 @@ def _hot(bodies: DataFrame, unit: str, length: int, earlier: bool) -> DataFrame:
 
     windows = map_batches(bodies, run, "h1 long, h2 long, doc_id long, s long")
     places = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n"))
-    places = places.where("least < most" if earlier else "n > 1")
-    seen = windows.join(places, ["h1", "h2"])
+    places = cut(places.where("least < most" if earlier else "n > 1"), "windows")
+    seen = split_join(windows, places, ["h1", "h2"], hot_keys(places, ["h1", "h2"], "n"), ["doc_id", "s"])
     if earlier:
         seen = seen.where("doc_id > least")
     return seen.select("doc_id", "s", (F.col("s") + length).alias("e"))
@@ -222,9 +231,11 @@ def remove_spans(docs: DataFrame, spans: DataFrame, unit: str) -> DataFrame:
     """``docs`` with ``n_units``, ``n_removed``, ``n_spans`` and ``kept``.
 
     ``kept`` is binary: the words left, joined by one space, or the bytes left.
+    These four replace columns of their names; every other column passes through.
     """
-    both = docs.drop("spans", "n_units", "n_removed", "n_spans", "kept").join(spans.hint("shuffle_hash"), "doc_id", "left")
-    fields = [f for f in both.schema.fields if f.name != "spans"]
+    (own,) = unused(docs, "spans")
+    both = docs.drop("n_units", "n_removed", "n_spans", "kept").join(spans.withColumnRenamed("spans", own).hint("shuffle_hash"), "doc_id", "left")
+    fields = [f for f in both.schema.fields if f.name != own]
     long = T.LongType()
     schema = T.StructType([*fields, *(T.StructField(c, long) for c in ("n_units", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())])
 
@@ -243,7 +254,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, unit: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES << 2):
-                done = [one(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
+                done = [one(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column(own).to_pylist(), strict=True)]
                 columns = list(zip(*done, strict=True))
                 out = pa.RecordBatch.from_arrays([batch.column(f.name) for f in fields], [f.name for f in fields])
                 for name, values, kind in zip(("n_units", "n_removed", "n_spans", "kept"), columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True):

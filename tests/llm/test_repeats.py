@@ -84,3 +84,9 @@ def test_empty_table_and_null_id(spark):
     rows = [(None, "w " * 60), (1, "w " * 60)]
     got = {r.doc_id: r.n_removed for r in repeats.drop_seen_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {None: 0, 1: 0}
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b c d", "s", "k"), (2, "a b c e", "t", "l")], "doc_id long, text string, spans string, kept string")
+    out = repeats.drop_seen_passages(df, 3, 2)
+    assert {(r.doc_id, r.spans, bytes(r.kept), r.n_removed) for r in out.collect()} == {(1, "s", b"a b c d", 0), (2, "t", b"e", 3)}
