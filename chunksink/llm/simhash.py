@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from chunksink.llm.arrow import map_batches
 from chunksink.llm.bpe import slices, with_column
 from chunksink.llm.components import components
-from chunksink.llm.scratch import cut
+from chunksink.llm.scratch import cut, hot_keys, split_join, temporary
 
 SHINGLE = 4
 BUDGET = 4
@@ -224,10 +224,15 @@ def _forest(table: pa.Table, key: list[str], budget: int) -> pa.RecordBatch:
 
 def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
     """One row a document: its id, ``fp`` and ``component_id``, the smallest id reachable over links."""
-    found = cut(fingerprints(docs.select(doc_id, text), text).select(doc_id, "fp"), "fingerprints")
-    distinct = found.groupBy("fp").agg(F.min(doc_id).alias("least"))
+    with temporary(docs.sparkSession):
+        return cut(_linked(docs.select(doc_id, text), doc_id, text, budget), "components", keep=True)
+
+
+def _linked(docs: DataFrame, doc_id: str, text: str, budget: int) -> DataFrame:
+    found = cut(fingerprints(docs, text).select(doc_id, "fp"), "fingerprints")
+    distinct = cut(found.groupBy("fp").agg(F.min(doc_id).alias("least"), F.count("*").alias("n")), "fingerprints")
     linked = components(links(distinct.select("fp"), budget))
-    classes = distinct.join(linked.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = classes.join(least, "root").select("fp", "component_id")
-    return found.join(of_fp, "fp").select(doc_id, "fp", "component_id")
+    classes = cut(distinct.join(linked.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "fingerprints")
+    least = cut(classes.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "fingerprints")
+    of_fp = split_join(classes, least.drop("n"), ["root"], hot_keys(least, ["root"], "n"), ["fp"]).select("fp", "component_id")
+    return split_join(found, of_fp, ["fp"], hot_keys(distinct, ["fp"], "n"), [doc_id]).select(doc_id, "fp", "component_id")
