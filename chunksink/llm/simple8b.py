@@ -39,7 +39,7 @@ MAGIC = b"S8BIDS01"
 FILE_IDS = 4_000_000
 #: Values packed or unpacked at once.
 PIECE = 256 * BLOCK
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 1_000_000
 
 
 _WIDTHS = np.array([k.bit_length() for k in range(1 << 16)], np.uint8)
@@ -258,8 +258,10 @@ class _Words:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after the other, and the count of each."""
-        if max(len(self.words.of), len(self.parts.of)) > MEMO_ENTRIES:
-            self.words, self.parts = _Memo(), _Memo()
+        if len(self.words.of) > MEMO_ENTRIES:
+            self.words = _Memo()
+        if len(self.parts.of) > MEMO_ENTRIES:
+            self.parts = _Memo()
         odd = pc.match_substring_regex(pa.array([t or "" for t in texts], pa.large_string()), _ODD).to_numpy(zero_copy_only=False)
         plain = [not x and is_normalized("NFC", t or "") for t, x in zip(texts, odd.tolist(), strict=True)]
         split = [(t or "").split() if ok else [] for t, ok in zip(texts, plain, strict=True)]
