@@ -96,18 +96,28 @@ class _Integer(Type):
         return _is_number(kind)
 
     def convert(self, value: Column, kind: T.DataType, name: str) -> Column:
-        message = f"{name}: out of range [{self.low}, {self.high}]"
+        if not self._fractions(kind):
+            return _check(value, self.fits(value, kind), f"{name}: out of range [{self.low}, {self.high}]").cast(self.spark)
+        value = _check(value, value == F.floor(value), f"{name}: not an integer")
+        return _check(value.cast("decimal(38,0)"), self._within(value, kind), f"{name}: out of range [{self.low}, {self.high}]").cast(self.spark)
+
+    @staticmethod
+    def _fractions(kind: T.DataType) -> bool:
+        return isinstance(kind, (T.FloatType, T.DoubleType)) or (isinstance(kind, T.DecimalType) and kind.scale > 0)
+
+    def _within(self, value: Column, kind: T.DataType) -> Column:
         if (bits := _BITS.get(kind.typeName())) is not None:  # stays in integers, and needs no check where every value fits
             least, most = -(1 << (bits - 1)), (1 << (bits - 1)) - 1
             ok = ([value >= self.low] if least < self.low else []) + ([value <= self.high] if most > self.high else [])
-            return (_check(value, ok[0] & ok[-1], message) if ok else value).cast(self.spark)
-        if isinstance(kind, (T.FloatType, T.DoubleType)):
-            value = _check(value, value == F.floor(value), f"{name}: not an integer")
-        elif isinstance(kind, T.DecimalType) and kind.scale:
-            value = _check(value, value == F.floor(value), f"{name}: not an integer")
+            return ok[0] & ok[-1] if ok else F.lit(True)
         wide = value.cast("decimal(38,0)")
         bound = lambda x: F.lit(str(x)).cast("decimal(38,0)")
-        return _check(wide, (wide >= bound(self.low)) & (wide <= bound(self.high)), message).cast(self.spark)
+        return (wide >= bound(self.low)) & (wide <= bound(self.high))
+
+    def fits(self, value: Column, kind: T.DataType) -> Column:
+        """Whether a value of type ``kind`` is a whole number in the range."""
+        within = self._within(value, kind)
+        return (value == F.floor(value)) & within if self._fractions(kind) else within
 
     def size(self, value: Column) -> Column:
         return _fixed(value, self.width)

@@ -258,9 +258,9 @@ def fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col
     rows = table(spark, sf_dir, "customer")
-    return violations(rows, {"int8": c("c_custkey").between(-128, 127), "uint8": c("c_custkey").between(0, 255), "uint16": c("c_acctbal").between(0, 65535), "int16": c("c_acctbal").between(-32768, 32767), "uint32": c("c_custkey").between(0, 4294967295)})
+    asked = {"int8": (t.Int8(), "c_custkey"), "uint8": (t.Uint8(), "c_custkey"), "uint16": (t.Uint16(), "c_acctbal"), "int16": (t.Int16(), "c_acctbal"), "uint32": (t.Uint32(), "c_custkey")}
+    return violations(rows, {name: kind.fits(F.col(c), rows.schema[c].dataType) for name, (kind, c) in asked.items()})
 
 
 def null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,7 +460,7 @@ SELECT o_orderkey, lpad(o_orderkey::VARCHAR, greatest(10, length(o_orderkey::VAR
     "fanout": "SELECT 'pq' AS sink, event_id, event_type FROM events UNION ALL SELECT 'csv', event_id, event_type FROM events WHERE event_type = 'purchase'",
     "range_violations": """
 SELECT count(*) FILTER (WHERE NOT c_custkey BETWEEN -128 AND 127) AS int8, count(*) FILTER (WHERE NOT c_custkey BETWEEN 0 AND 255) AS uint8,
-       count(*) FILTER (WHERE NOT c_acctbal BETWEEN 0 AND 65535) AS uint16, count(*) FILTER (WHERE NOT c_acctbal BETWEEN -32768 AND 32767) AS int16,
+       count(*) FILTER (WHERE NOT (c_acctbal BETWEEN 0 AND 65535 AND c_acctbal = floor(c_acctbal))) AS uint16, count(*) FILTER (WHERE NOT (c_acctbal BETWEEN -32768 AND 32767 AND c_acctbal = floor(c_acctbal))) AS int16,
        count(*) FILTER (WHERE NOT c_custkey BETWEEN 0 AND 4294967295) AS uint32 FROM customer""",
     "null_violations": """
 SELECT count(*) FILTER (WHERE d.doc_id IS NULL) AS doc_id, count(*) FILTER (WHERE quality IS NULL) AS quality, count(*) FILTER (WHERE toxic IS NULL) AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
