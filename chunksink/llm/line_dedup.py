@@ -21,8 +21,8 @@ those in which all but a run of words is deleted: k edits leave a run of
 (n - k) / (k + 1) words untouched. From every run a line emits the least hash of its
 ranges of ``GRAM`` words, so lines within the bound meet at one. A line is held
 against the earliest of each meeting first, and only if none of these is near
-against the other earlier lines it meets. Pairs whose lengths, or counts of words
-modulo two, differ by more than the edits can explain are dropped unread.
+against the other earlier lines it meets. Pairs whose lengths, or counts of pairs of
+words modulo two, differ by more than the edits can explain are dropped unread.
 
 Null and empty texts have no lines. Rows with a null id stay as they are and
 are no source. Rows that share an id lose the same line numbers as the first
@@ -31,7 +31,7 @@ that holds them; a removed line is found again by its words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ from chunksink.llm.arrow import map_batches
 from chunksink.llm import sequences
 from chunksink.llm.bpe import slices, with_column
 from chunksink.llm.meetings import PACKED, hot, is_hot, meet, pack
-from chunksink.llm.scratch import cut, hot_keys, small, split_join, temporary, unused
+from chunksink.llm.scratch import cut, cut_apart, hot_keys, small, split_join, temporary, unused
 
 MIN_WORDS = 8
 WORDS_PER_EDIT = 10
@@ -107,11 +107,15 @@ def far_keys(t: sequences.Texts, a: np.ndarray, b: np.ndarray, known: np.ndarray
 
 
 def parities(t: sequences.Texts, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of each line the counts modulo two of its words by 256 values of their hash; an edit changes two of these at most."""
-    n = b - a
+    """Of each line the counts modulo two of its pairs of adjacent words by 256 values of their hash.
+
+    An edit takes two pairs at most and brings two, so it changes four of these at most.
+    """
+    n = np.maximum(b - a - 1, 0)
     of = np.repeat(np.arange(len(a)), n)
     at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n - a, n)
-    cell = of * 256 + (t.symbols[at] >> np.uint64(16) & np.uint64(255)).astype(np.int64)
+    pair = sequences.mix(t.symbols[at] * np.uint64(3) + t.symbols[at + 1])
+    cell = of * 256 + (pair & np.uint64(255)).astype(np.int64)
     odd = np.bincount(cell, minlength=256 * len(a)).reshape(-1, 256) & 1
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
@@ -323,7 +327,7 @@ def far_pairs(met: DataFrame) -> DataFrame:
     bound = F.floor(F.least("n", "w.n") / WORDS_PER_EDIT)
     differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"w.{p}"))) for p in PARITY), F.lit(0))
     earlier = (F.col("w.doc_id") < F.col("doc_id")) | ((F.col("w.doc_id") == F.col("doc_id")) & (F.col("w.line") < F.col("line")))
-    both = met.where(earlier & (F.abs(F.col("n") - F.col("w.n")) <= bound) & (differ <= 2 * bound))
+    both = met.where(earlier & (F.abs(F.col("n") - F.col("w.n")) <= bound) & (differ <= 4 * bound))
     return both.select("c1", "c2", F.col("w.c1").alias("w1"), F.col("w.c2").alias("w2")).distinct()
 
 
@@ -332,8 +336,8 @@ def named(pairs: DataFrame) -> DataFrame:
     return pairs.select("c1", "c2").union(pairs.select("w1", "w2")).distinct()
 
 
-def edited_lines(docs: DataFrame, rows: DataFrame, lines: DataFrame, packed: DataFrame | None, min_words: int) -> DataFrame:
-    """(c1, c2) of the lines within the bound of an earlier one; ``packed`` are the keys of the longer lines."""
+def edited_lines(docs: DataFrame, rows: DataFrame, lines: DataFrame, packed: DataFrame | None, min_words: int, drop: Callable[[], None] | None) -> DataFrame:
+    """(c1, c2) of the lines within the bound of an earlier one; ``packed`` are the keys of the longer lines, which ``drop`` removes after use."""
     far = packed is not None
     some = F.col("n").between(min_words, FAR_WORDS) if far else F.col("n") >= min_words  # longer lines meet by runs
     near = lines.where(some).join(half_sharers(rows.where(some), min_words), "c1")
@@ -343,7 +347,8 @@ def edited_lines(docs: DataFrame, rows: DataFrame, lines: DataFrame, packed: Dat
         return verified(meetings(variants(texts)), texts, min_words)
     whole = F.struct("doc_id", "line", "c1", "c2", "n", *PARITY).alias("w")
     met = meet(packed, _close).withColumnRenamed("id", "c1")
-    members = cut(met.join(lines.where(F.col("n") >= min_words), "c1"), "lines")
+    members = cut(met.join(lines.where(F.col("n") >= min_words).drop("places"), "c1"), "lines")
+    drop()
     first = cut(members.groupBy("key").agg(F.min(whole).alias("w"), F.count("*").alias("met")), "lines")
     tried = cut(far_pairs(split_join(members, first.drop("met"), ["key"], hot_keys(first, ["key"], "met"), ["c1"])), "lines")
     plain = [*place, F.lit(False).alias("head"), F.lit(False).alias("tail")]
@@ -371,12 +376,15 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_edits: int |
 
 def _repeated_lines(docs: DataFrame, min_words: int, max_edits: int | None) -> DataFrame:
     far = max_edits is None
-    written = cut(line_rows(docs, far), "lines")
-    rows = written.where("bucket is null").drop("bucket", "cells") if far else written
+    if far:
+        rows, packed, drop = cut_apart(line_rows(docs, True).withColumn("far", F.col("bucket").isNotNull()), "lines", "far")
+        rows = rows.drop("bucket", "cells")
+    else:
+        rows, packed, drop = cut(line_rows(docs), "lines"), None, None
     lines = cut(distinct_lines(rows), "lines")
     first = lines.select("c1", "c2", F.col("doc_id").alias("least"))
     if max_edits != 0:
-        edited = cut(edited_lines(docs, rows, lines, written.where("bucket is not null") if far else None, min_words).distinct(), "lines")
+        edited = cut(edited_lines(docs, rows, lines, packed, min_words, drop).distinct(), "lines")
         first = first.join(edited.withColumn("edited", F.lit(True)).hint("shuffle_hash"), ["c1", "c2"], "left")
     else:
         first = first.withColumn("edited", F.lit(None).cast("boolean"))

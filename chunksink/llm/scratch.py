@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -43,6 +43,27 @@ def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def cut_apart(df: DataFrame, name: str, flag: str) -> tuple[DataFrame, DataFrame, Callable[[], None]]:
+    """As ``cut``, but rows whose boolean ``flag`` is false and those where it is true lie apart; and a call that removes the latter."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    if _open.get():
+        _open.get()[-1].append(path)
+    before = spark.conf.get(_WRITERS, "0")
+    spark.conf.set(_WRITERS, "2")  # two files at once, so that no task has to sort its rows
+    try:
+        df.write.partitionBy(flag).parquet(path)
+    finally:
+        spark.conf.set(_WRITERS, before)
+    dest, schema = Dest(spark, path), df.drop(flag).schema
+    for value in ("false", "true"):
+        dest.mkdir(f"{flag}={value}")  # none is missing
+    no, yes = (spark.read.schema(schema).parquet(dest.path(f"{flag}={v}")) for v in ("false", "true"))
+    return no, yes, lambda: dest.rm(f"{flag}=true")
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Names for columns of our own: those given, with underscores before them as long as ``df`` has one of that name."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -87,4 +108,4 @@ def split_join(many: DataFrame, one: DataFrame, keys: list[str], hot: DataFrame
     return many.join(one.join(flag, keys, "left").withColumn(part, F.explode(each)), [*keys, part]).drop(part)
 
 
-__all__ = ["BROADCAST_ROWS", "cut", "hot_keys", "shared_dir", "small", "split_join", "temporary", "unused"]
+__all__ = ["BROADCAST_ROWS", "cut", "cut_apart", "hot_keys", "shared_dir", "small", "split_join", "temporary", "unused"]
